@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fathomline.functions.arrays import let, run_lengths
-from fathomline.functions.labels import first_match, portable
+from fathomline.functions.labels import first_match
 
 Provider = Callable[[Column], Column]
 
@@ -80,7 +80,7 @@ def rule_classifier(rules: Sequence[tuple[str, str]] | None = None, default: str
 def sentences(text: Column) -> Column:
     """Split after sentence marks and at line breaks; blanks are dropped."""
     marked = F.regexp_replace(F.regexp_replace(text, r"([.!?])\s+", "$1" + _CUT), r"[\r\n]+", _CUT)
-    return F.filter(F.transform(F.split(marked, _CUT), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(marked, _CUT), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def extractive_summary(count: int = 3, min_letters: int = 4) -> Provider:
@@ -103,7 +103,7 @@ def extractive_summary(count: int = 3, min_letters: int = 4) -> Provider:
             )
         )
         shared = let(
-            F.array_sort(pairs),
+            F.sort_array(pairs),
             lambda a: F.filter(
                 a,
                 lambda p, i: F.coalesce(F.get(a, i - 1)["term"] == p.term, F.lit(False))
@@ -114,13 +114,13 @@ def extractive_summary(count: int = 3, min_letters: int = 4) -> Provider:
         places = F.concat(
             F.transform(shared, lambda p: p["at"]), F.transform(parts, lambda s, i: i)
         )
-        ranked = F.array_sort(
+        ranked = F.sort_array(
             F.transform(
-                run_lengths(F.array_sort(places)),
+                run_lengths(F.sort_array(places)),
                 lambda r: F.struct((-r["n"]).alias("rank"), r["value"].alias("at")),
             )
         )
-        best = F.array_sort(F.transform(F.slice(ranked, 1, count), lambda r: r["at"]))
+        best = F.sort_array(F.transform(F.slice(ranked, 1, count), lambda r: r["at"]))
         return F.array_join(F.transform(best, lambda i: F.get(parts, i)), " ")
 
     def summary(text: Column) -> Column:
@@ -140,13 +140,13 @@ def pattern_entities(
     """Struct of four sorted distinct arrays: companies, executives, amounts, locations."""
     chosen = DEFAULT_ENTITY_PATTERNS if patterns is None else patterns
     names = sorted(DEFAULT_PLACES if places is None else places, key=lambda p: (-len(p), p))
-    chosen = {**chosen, "locations": r"\b(?:" + "|".join(names) + r")\b"}
+    chosen = {**chosen, "locations": r"(?<!\w)(?:" + "|".join(names) + r")(?!\w)"}
 
     def entities(text: Column) -> Column:
         return F.struct(
             *[
-                F.array_sort(
-                    F.array_distinct(F.regexp_extract_all(text, F.lit(portable(chosen[field])), F.lit(0)))
+                F.sort_array(
+                    F.array_distinct(F.regexp_extract_all(text, F.lit(chosen[field]), F.lit(0)))
                 ).alias(field)
                 for field in ENTITY_FIELDS
             ]

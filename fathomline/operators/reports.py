@@ -80,7 +80,7 @@ def classification_members(
         .groupBy(group, (F.col("page") + 1).alias("page"))
         .agg(
             F.array_join(
-                F.transform(F.array_sort(F.collect_list(F.struct(member, "_names"))), lambda r: r["_names"]),
+                F.transform(F.sort_array(F.collect_list(F.struct(member, "_names"))), lambda r: r["_names"]),
                 ", ",
             ).alias("companies")
         )
@@ -153,7 +153,7 @@ def briefing_lines(recent: DataFrame, tie: str = "cik") -> DataFrame:
         "ai_summary", F.lit(" [Sentiment: "), "sentiment", F.lit(", Type: "), "classification", F.lit("]"),
     )
     item = F.struct((-F.unix_date("filing_date")).alias("at"), F.col(tie).alias("tie"), line.alias("line"))
-    lines = F.transform(F.array_sort(F.collect_list(item)), lambda x: x["line"])
+    lines = F.transform(F.sort_array(F.collect_list(item)), lambda x: x["line"])
     return recent.agg(
         F.coalesce(F.array_join(lines, "\n"), F.lit("")).alias("filing_list"),
         F.count("*").alias("num_filings"),

@@ -29,18 +29,18 @@ QUERIES: dict[str, Query] = {}
 # Vocabularies that occur in the given texts.
 LEXICON = {"with": 1.0, "this": 1.0, "thing": 0.5, "that": -1.0, "from": -1.0, "than": -0.5}
 RULES = [
-    ("M&A", r"\blicense\b"),
-    ("IPO", r"\bthing\b"),
-    ("Restructuring", r"\b(queau|those)\b"),
-    ("Executive_Change", r"\bthis\b"),
-    ("Financial_Restatement", r"\bthat\b"),
-    ("Material_Event", r"\b(und|les|los)\b"),
+    ("M&A", r"license[^a-z]"),
+    ("IPO", r"[^a-z]thing[^a-z]"),
+    ("Restructuring", r"[^a-z](queau|those)[^a-z]"),
+    ("Executive_Change", r"[^a-z]this[^a-z]"),
+    ("Financial_Restatement", r"[^a-z]that[^a-z]"),
+    ("Material_Event", r"[^a-z](und|les|los)[^a-z]"),
 ]
 DEAL_TERMS = ("License", "Thing", "Und")
 ENTITY_PATTERNS = {
-    "companies": r"\b(?:[A-Z][a-z]+ ){1,2}(?:License|Public|Software)\b",
-    "executives": r"\b[A-Z][a-z]+ [A-Z][a-z]+\b",
-    "financial_amounts": r"\b[0-9][0-9,]*(?:\.[0-9]+)*\b",
+    "companies": r"(?:[A-Z][a-z]+ ){1,2}(?:License|Public|Software)",
+    "executives": r"[A-Z][a-z]+ [A-Z][a-z]+",
+    "financial_amounts": r"[0-9][0-9,]*(?:\.[0-9]+)*",
 }
 PLACES = ["Apache", "General", "Public", "Die", "Of"]
 FAMILIES = [
@@ -104,8 +104,17 @@ def _tested(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    return files.spread(given.filings(spark, sf), "cik")
+
+
 def _enriched(spark: SparkSession, sf: str, ids: bool = False) -> DataFrame:
-    return enrich.enrich_filings(given.filings(spark, sf), PROVIDERS, ids=ids, run_ts=_stamp())
+    return enrich.enrich_filings(_texts(spark, sf), PROVIDERS, ids=ids, run_ts=_stamp())
+
+
+def _summaries(spark: SparkSession, sf: str) -> DataFrame:
+    """The enriched table without the full text, stored once so that filters do not repeat text steps."""
+    return _stored(_enriched(spark, sf, ids=True).drop("original_text"), "summaries")
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -407,7 +416,7 @@ def merge_insert_filings(spark, sf):
 def lexicon_sentiment(spark, sf):
     return rounded(
         enrich.sentiment(
-            given.filings(spark, sf), "filing_text", provider=providers.lexicon_sentiment(LEXICON)
+            _texts(spark, sf), "filing_text", provider=providers.lexicon_sentiment(LEXICON)
         ).select("cik", "sentiment_score")
     )
 
@@ -415,7 +424,7 @@ def lexicon_sentiment(spark, sf):
 @query
 def sentiment_label(spark, sf):
     scored = enrich.sentiment(
-        given.filings(spark, sf), "filing_text", provider=providers.lexicon_sentiment(LEXICON)
+        _texts(spark, sf), "filing_text", provider=providers.lexicon_sentiment(LEXICON)
     )
     return scored.select("cik", labels.sentiment_label(F.col("sentiment_score")).alias("sentiment"))
 
@@ -423,19 +432,19 @@ def sentiment_label(spark, sf):
 @query
 def rule_classify(spark, sf):
     return enrich.classify(
-        given.filings(spark, sf), "filing_text", provider=providers.rule_classifier(RULES)
+        _texts(spark, sf), "filing_text", provider=providers.rule_classifier(RULES)
     ).select("cik", "classification")
 
 
 @query
 def extractive_summary(spark, sf):
-    return enrich.summarize(given.filings(spark, sf), "filing_text").select("cik", "ai_summary")
+    return enrich.summarize(_texts(spark, sf), "filing_text").select("cik", "ai_summary")
 
 
 @query
 def filing_entities(spark, sf):
     found = enrich.extract_entities(
-        given.filings(spark, sf),
+        _texts(spark, sf),
         "filing_text",
         provider=providers.pattern_entities(ENTITY_PATTERNS, PLACES),
     )
@@ -452,18 +461,18 @@ def enriched_filings(spark, sf):
 
 @query
 def bounded_docs(spark, sf):
-    done = enrich.enrich_filings(given.filings(spark, sf), PROVIDERS, limit=50, run_ts=_stamp())
+    done = enrich.enrich_filings(_texts(spark, sf), PROVIDERS, limit=50, run_ts=_stamp())
     return rounded(done.select("filing_id", "cik", "sentiment_score", "classification"))
 
 
 @query
 def deal_activity_ci(spark, sf):
-    return rounded(reports.deal_activity(_enriched(spark, sf, ids=True), DEAL_TERMS))
+    return rounded(reports.deal_activity(_summaries(spark, sf), DEAL_TERMS))
 
 
 @query
 def deal_activity_cs(spark, sf):
-    return rounded(reports.deal_activity(_enriched(spark, sf, ids=True), DEAL_TERMS, case_sensitive=True))
+    return rounded(reports.deal_activity(_summaries(spark, sf), DEAL_TERMS, case_sensitive=True))
 
 
 @query
@@ -523,7 +532,7 @@ def unprocessed_docs(spark, sf):
 @query
 def cached_enrichment(spark, sf):
     """Fill a result cache from the older filings, add the rest, and attach to all."""
-    rows = given.filings(spark, sf)
+    rows = _texts(spark, sf)
     path = scratch_path(spark, "cache")
     older = rows.where(F.col("filing_date") < "2024-07-01")
     enrich.new_results(older, None, PROVIDERS).write.parquet(path)
@@ -547,7 +556,7 @@ def trained_classify(spark, sf):
 def filing_report(spark, sf):
     """Row counts of every report of a full filing run."""
     made = runs.run_filings(
-        given.filings(spark, sf), runs.FilingRun(PROVIDERS, deal_terms=DEAL_TERMS), scratch_path(spark, "filings")
+        _texts(spark, sf), runs.FilingRun(PROVIDERS, deal_terms=DEAL_TERMS), scratch_path(spark, "filings")
     )
     counts = [df.agg(F.count("*").alias("num_rows")).select(F.lit(n).alias("report"), "num_rows") for n, df in made.items()]
     out = counts[0]
