@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Class names, icons, prompt texts and score limits.
@@ -84,3 +84,11 @@ def first_match(text: Column, rules: Sequence[tuple[str, str]], default: str | N
     for name, pattern in rules:
         label = label.when(text.rlike(f"(?i){pattern}"), name)
     return label.otherwise(F.lit(default)) if rules else F.lit(default)
+
+
+def settings_rows(table: DataFrame, most: int) -> list:
+    """Rows of a settings table that becomes part of an expression; more than ``most`` is an error."""
+    rows = table.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a settings table holds at most {most} rows")
+    return rows

@@ -10,11 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.functions.arrays import let, run_lengths
-from fathomline.functions.labels import first_match
+from fathomline.functions.labels import first_match, settings_rows
 
 Provider = Callable[[Column], Column]
 
@@ -77,6 +77,17 @@ def rule_classifier(rules: Sequence[tuple[str, str]] | None = None, default: str
     return lambda text: first_match(text, chosen, default)
 
 
+def lexicon_from(table: DataFrame) -> dict[str, float]:
+    """Lexicon of a table (term, weight); larger ones go to ``sentiment_by_join``."""
+    return {row["term"]: row["weight"] for row in settings_rows(table, 20_000)}
+
+
+def rules_from(table: DataFrame) -> list[tuple[str, str]]:
+    """Rules of a table (label, priority, regex) in order of priority."""
+    rows = settings_rows(table, 2_000)
+    return [(row["label"], row["regex"]) for row in sorted(rows, key=lambda row: row["priority"])]
+
+
 def sentences(text: Column) -> Column:
     """Split after sentence marks and at line breaks; blanks are dropped."""
     marked = F.regexp_replace(F.regexp_replace(text, r"([.!?])\s+", "$1" + _CUT), r"[\r\n]+", _CUT)

@@ -15,8 +15,8 @@ from fathomline.functions.providers import (
     pattern_entities,
     rule_classifier,
 )
-from fathomline.operators.merge import one_per_key, text_key, unseen
-from fathomline.operators.ranks import number_by_key
+from fathomline.operators.merge import text_key, unseen
+from fathomline.operators.ranks import number_by_key, number_rows
 
 FILING_KEY = ["cik", "form_type", "filing_date", "url"]
 RESULTS = ["ai_summary", "sentiment_score", "classification"]
@@ -46,9 +46,15 @@ def nonempty_filings(df: DataFrame, min_len: int = 100) -> DataFrame:
     return df.where(F.length("filing_text") > min_len)
 
 
-def assign_ids(df: DataFrame, id_col: str = "filing_id") -> DataFrame:
-    """Number filings from 1, newest first, ties by key; the key must be unique."""
+def assign_ids(df: DataFrame, id_col: str = "filing_id", unique_key: bool = True) -> DataFrame:
+    """Number filings from 1, newest first, ties by key.
+
+    With a unique key only the key columns are sorted and saved; ``unique_key=False``
+    numbers the whole rows and allows any number of copies.
+    """
     order = [F.desc_nulls_last("filing_date"), *[c for c in FILING_KEY if c != "filing_date"]]
+    if not unique_key:
+        return number_rows(df, order, id_col)[0]
     return number_by_key(df, order, FILING_KEY, id_col)
 
 
@@ -95,16 +101,58 @@ def enrich_filings(
     )
 
 
-def summarize(df: DataFrame, col: str, out: str = "ai_summary", provider: Provider | None = None, chars: int | None = None) -> DataFrame:
-    return df.withColumn(out, (provider or extractive_summary())(capped(F.col(col), chars)))
+def _apply(df: DataFrame, col: str, out: str, provider: Provider, chars: int | None) -> DataFrame:
+    return df.withColumn(out, provider(capped(F.col(col), chars)))
+
+
+def summarize(
+    df: DataFrame,
+    col: str,
+    out: str = "ai_summary",
+    provider: Provider | None = None,
+    chars: int | None = None,
+) -> DataFrame:
+    return _apply(df, col, out, provider or extractive_summary(), chars)
+
+
+def sentiment(
+    df: DataFrame,
+    col: str,
+    out: str = "sentiment_score",
+    provider: Provider | None = None,
+    chars: int | None = None,
+) -> DataFrame:
+    return _apply(df, col, out, provider or lexicon_sentiment(), chars)
+
 
+def classify(
+    df: DataFrame,
+    col: str,
+    out: str = "classification",
+    provider: Provider | None = None,
+    chars: int | None = None,
+) -> DataFrame:
+    return _apply(df, col, out, provider or rule_classifier(), chars)
 
-def sentiment(df: DataFrame, col: str, out: str = "sentiment_score", provider: Provider | None = None, chars: int | None = None) -> DataFrame:
-    return df.withColumn(out, (provider or lexicon_sentiment())(capped(F.col(col), chars)))
 
+def sentiment_by_join(df: DataFrame, col: str, id_col: str, lexicon: DataFrame) -> DataFrame:
+    """(``id_col``, sentiment_score) for a lexicon table (term, weight) of any size.
 
-def classify(df: DataFrame, col: str, out: str = "classification", provider: Provider | None = None, chars: int | None = None) -> DataFrame:
-    return df.withColumn(out, (provider or rule_classifier())(capped(F.col(col), chars)))
+    Words are counted per text before the join and weights are summed per text right
+    after it, so a word common to many texts is split by Spark's adaptive join and only
+    one short row per text is left to shuffle.
+    """
+    words = df.select(id_col, F.explode(F.split(F.lower(col), r"[^a-z]+")).alias("term"))
+    counted = words.groupBy(id_col, "term").agg(F.count("*").alias("n"))
+    weight = F.col("weight") * F.col("n")
+    hits = (
+        counted.join(lexicon.select("term", "weight"), "term")
+        .groupBy(id_col)
+        .agg(F.sum(weight).alias("_net"), F.sum(F.abs(weight)).alias("_all"))
+    )
+    return df.select(id_col).join(hits, id_col, "left").select(
+        id_col, F.coalesce(F.try_divide("_net", "_all"), F.lit(0.0)).alias("sentiment_score")
+    )
 
 
 def extract_entities(
@@ -131,18 +179,17 @@ def new_results(
 ) -> DataFrame:
     """Results for the distinct texts that the cache does not hold, keyed by text hash.
 
-    Copies of a text are reduced to the copy with the smallest ``id_col`` on hashes
-    and ids alone, so a text repeated any number of times is read by the providers
-    once.  ``tasks`` spreads slow external calls.
+    Copies of a text are reduced to the copy with the smallest ``id_col`` (a unique
+    column) on hashes and ids alone, so a text repeated any number of times is read by
+    the providers once.  ``tasks`` spreads slow external calls.
     """
     hashed = df.withColumn("text_hash", text_key(F.col(text)))
     wanted = hashed.groupBy("text_hash").agg(F.min(id_col).alias(id_col))
     if cache is not None:
         wanted = unseen(wanted, cache, "text_hash")
-    chosen = hashed.join(wanted, ["text_hash", id_col], "left_semi")
-    texts = one_per_key(chosen.select("text_hash", text), ["text_hash"], text) if tasks is None else (
-        one_per_key(chosen.select("text_hash", text), ["text_hash"], text).repartition(tasks)
-    )
+    texts = hashed.join(wanted, ["text_hash", id_col], "left_semi").select("text_hash", text)
+    if tasks is not None:
+        texts = texts.repartition(tasks, "text_hash")
     return texts.select("text_hash", *[c.alias(n) for n, c in providers.columns(text).items()])
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fathomline.functions.labels import portable
+from fathomline.functions.labels import portable, settings_rows
 
 # Trigger patterns by family, in order of precedence.
 CORRECTION = [
@@ -78,6 +78,14 @@ REVIEWER_FAMILIES = [
 Families = Sequence[tuple[str, str, Sequence[str]]]
 
 
+def families_from(table: DataFrame) -> list[tuple[str, str, list[str]]]:
+    """Trigger families of a table (family, priority, confidence, regex) in order of priority."""
+    families: dict[str, tuple[str, str, list[str]]] = {}
+    for row in sorted(settings_rows(table, 2_000), key=lambda row: row["priority"]):
+        families.setdefault(row["family"], (row["family"], row["confidence"], []))[2].append(row["regex"])
+    return list(families.values())
+
+
 def trigger(text: Column, families: Families = TRIGGER_FAMILIES) -> Column:
     """Struct (type, confidence) of the first family with a matching pattern, else null."""
     hit = F

@@ -30,12 +30,17 @@ def _sorted_marked(df: DataFrame, order: list) -> DataFrame:
     return saved.withColumn("_mark", F.monotonically_increasing_id())
 
 
-def _starts(totals: dict[int, int]) -> Column:
-    """Literal array: total of all partitions before the one at each index."""
-    width = max(totals, default=0) + 1
-    sizes = [totals.get(i, 0) for i in range(width)]
-    before = [0, *accumulate(sizes)][:width]
-    return F.array(*[F.lit(v).cast("bigint") for v in before])
+def _with_starts(marked: DataFrame, totals: dict[int, int]) -> DataFrame:
+    """Add ``_start``: the total of all partitions before the row's own.
+
+    The broadcast side has one row per partition of ``marked``.
+    """
+    parts = sorted(totals)
+    before = [0, *accumulate(totals[p] for p in parts)]
+    starts = marked.sparkSession.createDataFrame(
+        list(zip(parts, before)), "_part int, _start bigint"
+    )
+    return marked.withColumn("_part", _partition("_mark")).join(F.broadcast(starts), "_part")
 
 
 def number_rows(df: DataFrame, order: list, out: str, first: int = 1) -> tuple[DataFrame, int]:
@@ -48,12 +53,9 @@ def number_rows(df: DataFrame, order: list, out: str, first: int = 1) -> tuple[D
         row["part"]: row["n"]
         for row in marked.groupBy(_partition("_mark").alias("part")).agg(F.count("*").alias("n")).collect()
     }
-    number = (
-        F.get(_starts(sizes), _partition("_mark"))
-        + F.col("_mark").bitwiseAND(F.lit(_PLACE))
-        + F.lit(first)
-    )
-    return marked.select(*df.columns, number.cast("bigint").alias(out)), sum(sizes.values())
+    number = F.col("_start") + F.col("_mark").bitwiseAND(F.lit(_PLACE)) + F.lit(first)
+    numbered = _with_starts(marked, sizes).select(*df.columns, number.cast("bigint").alias(out))
+    return numbered, sum(sizes.values())
 
 
 def number_by_key(df: DataFrame, order: list, key: list[str], out: str) -> DataFrame:
@@ -70,14 +72,12 @@ def number_by_key(df: DataFrame, order: list, key: list[str], out: str) -> DataF
 
 def running_total(df: DataFrame, order: list, value: str, out: str) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all rows before this one in ``order``."""
-    marked = _sorted_marked(df, order).withColumn("_part", _partition("_mark"))
-    sums = {
-        row["_part"]: row["total"]
-        for row in marked.groupBy("_part").agg(F.sum(value).cast("bigint").alias("total")).collect()
-    }
+    marked = _sorted_marked(df, order)
+    totals = marked.groupBy(_partition("_mark").alias("part")).agg(F.sum(value).cast("bigint").alias("n"))
+    sums = {row["part"]: row["n"] for row in totals.collect()}
     local = Window.partitionBy("_part").orderBy("_mark").rowsBetween(Window.unboundedPreceding, -1)
-    total = F.get(_starts(sums), F.col("_part")) + F.coalesce(F.sum(value).over(local), F.lit(0))
-    return marked.withColumn(out, total.cast("bigint")).select(*df.columns, out)
+    total = F.col("_start") + F.coalesce(F.sum(value).over(local), F.lit(0))
+    return _with_starts(marked, sums).select(*df.columns, total.cast("bigint").alias(out))
 
 
 def overlapping_chunks(

@@ -325,6 +325,25 @@ def model_roundtrip(spark, sf):
     return fc.forecast_flat(features, regress.load_model(path, "v1"), version="v1", run_ts=_stamp())
 
 
+@query
+def price_run(spark, sf):
+    """The whole price run: stored features, chosen trees, stored forecasts."""
+    cfg = runs.PriceRun(lookback=None, grid={"maxDepth": [3], "maxIter": [3]}, layout="keyed", score_on="latest")
+    paths = scratch_path(spark, "features"), scratch_path(spark, "predictions")
+    predictions, _ = runs.run_prices(given.prices(spark, sf), cfg, *paths)
+    return predictions
+
+
+@query
+def lexicon_table_sentiment(spark, sf):
+    """Scores from a lexicon table by join: the words seen in benchmark items, by length parity."""
+    terms = given.table(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), r"[^a-z]+")).alias("term"))
+    lexicon = terms.where("term <> ''").distinct().withColumn(
+        "weight", F.when(F.length("term") % 2 == 0, 1.0).otherwise(-1.0)
+    )
+    return rounded(enrich.sentiment_by_join(_texts(spark, sf), "filing_text", "cik", lexicon))
+
+
 @query
 def feature_table(spark, sf):
     rows = _next_day(spark, sf).withColumn("year", F.year("date"))

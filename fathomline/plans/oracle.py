@@ -305,6 +305,13 @@ FROM filings"""
 ORACLES["lexicon_sentiment"] = (
     f"{parts(FILINGS, scored('filings'))} SELECT cik, floor((sentiment_score) * 1000000 + 0.5::DOUBLE) / 1000000 AS sentiment_score FROM scored"
 )
+ORACLES["lexicon_table_sentiment"] = f"""{filings},
+lexicon AS (SELECT w, CASE WHEN length(w) % 2 = 0 THEN 1 ELSE -1 END AS weight FROM (
+  SELECT DISTINCT unnest(string_split_regex(lower(text), '[^a-z]+')) AS w FROM benchmark) a WHERE w <> ''),
+words AS (SELECT cik, unnest(string_split_regex(lower(filing_text), '[^a-z]+')) AS w FROM filings),
+hits AS (SELECT cik, sum(weight) AS net, count(*) AS n FROM words JOIN lexicon USING (w) GROUP BY cik)
+SELECT cik, {half_up('coalesce(CAST(net AS DOUBLE) / n, 0)')} AS sentiment_score
+FROM filings LEFT JOIN hits USING (cik)"""
 ORACLES["sentiment_label"] = f"{parts(FILINGS, scored('filings'))} SELECT cik, {LABEL} AS sentiment FROM scored"
 ORACLES["rule_classify"] = f"{filings} SELECT cik, {CLASS} AS classification FROM filings"
 ORACLES["extractive_summary"] = f"{parts(FILINGS, summaries('filings'))} SELECT cik, ai_summary FROM summed"

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fathomline import schemas
 from fathomline.operators.enrich import TextProviders, enrich_filings
 from fathomline.operators.forecast import forecast_flat
 from fathomline.operators.price_features import REGRESSOR_FEATURES, price_features
@@ -21,7 +22,8 @@ from fathomline.operators.reports import (
     sentiment_heatmap,
     sentiment_trends,
 )
-from fathomline.sources.tables import replace_table
+from fathomline.sources.files import read_table
+from fathomline.sources.tables import replace_table, write_aligned
 
 
 @dataclass(frozen=True)
@@ -37,8 +39,10 @@ class PriceRun:
     score_on: str = "latest_complete"
 
 
-def run_prices(prices: DataFrame, cfg: PriceRun, features_path: str) -> tuple[DataFrame, DataFrame]:
-    """Features, regressor and forecasts; returns (predictions, hold-out metrics).
+def run_prices(
+    prices: DataFrame, cfg: PriceRun, features_path: str, predictions_path: str
+) -> tuple[DataFrame, DataFrame]:
+    """Features, regressor and stored forecasts; returns (predictions, hold-out metrics).
 
     ``latest_complete`` scores the last row with a known next day, as the null drop
     leaves it; ``latest`` scores the true last day.  The feature rows are stored once
@@ -51,7 +55,9 @@ def run_prices(prices: DataFrame, cfg: PriceRun, features_path: str) -> tuple[Da
     complete = stored.dropna()
     model, metrics = fit_regressor(complete, REGRESSOR_FEATURES, "target_price", cfg.grid)
     scored = complete if cfg.score_on == "latest_complete" else stored.dropna(subset=REGRESSOR_FEATURES)
-    return forecast_flat(scored, model, cfg.horizon, version=cfg.version), metrics
+    made = forecast_flat(scored, model, cfg.horizon, version=cfg.version)
+    write_aligned(made, predictions_path, schemas.PREDICTIONS)
+    return read_table(prices.sparkSession, predictions_path, schemas.PREDICTIONS), metrics
 
 
 @dataclass(frozen=True)

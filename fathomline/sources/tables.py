@@ -6,10 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fathomline import schemas
 from fathomline.operators.merge import merge_insert, merge_upsert
 from fathomline.runtime import scratch_path
 
 MAX_TOUCHED = 100_000
+BASE_TABLES = [
+    ("raw_data", "stock_prices", schemas.PRICES),
+    ("raw_data", "real_estate", schemas.REAL_ESTATE),
+    ("raw_data", "sec_filings", schemas.FILINGS),
+    ("ml_models", "stock_predictions", schemas.PREDICTIONS),
+    ("text_ai", "filing_summaries", schemas.SUMMARIES),
+]
 
 
 def replace_table(df: DataFrame, path: str, partition: str | None = None) -> DataFrame:
@@ -45,6 +53,20 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{place}")
 
 
+def create_base_tables(spark: SparkSession, root: str, databases: bool = True) -> None:
+    """Declare the five base tables below ``root``, in one database per area."""
+    for database, name, schema in BASE_TABLES:
+        if databases:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/{database}.db'")
+        create_table(spark, f"{database}.{name}" if databases else name, schema, f"{root}/{database}/{name}")
+
+
+def create_views(frames: dict[str, DataFrame]) -> None:
+    """Register each frame under its name; a view is computed when it is read."""
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
+
+
 def reset_outputs(
     spark: SparkSession, views: list[str] = (), tables: list[str] = (), truncate: list[str] = ()
 ) -> None:
@@ -81,7 +103,7 @@ def merge_into(
     spark = source.sparkSession
     merge = merge_upsert if update else merge_insert
     columns = _stored_order(schema, partition)
-    batch = source.select(*columns.fieldNames())
+    batch = source.select(*columns.fieldNames()).persist()
     empty = spark.createDataFrame([], columns)
     if exists(spark, path):
         touched = [r[0] for r in batch.select(partition).distinct().limit(MAX_TOUCHED + 1).collect()]
@@ -102,3 +124,4 @@ def merge_into(
         .partitionBy(partition)
         .parquet(path)
     )
+    batch.unpersist()
