@@ -32,7 +32,7 @@ DEFAULT_RULES = [
     ("IPO", r"\b(initial public offering|ipo)\b"),
     ("Restructuring", r"\b(restructuring|layoffs?|reorgani[sz]ation)\b"),
     ("Executive_Change", r"\b(resign(s|ed|ation)|appoint(s|ed|ment)|successor)\b"),
-    ("Financial_Restatement", r"\b(restate(s|d|ment)|non-reliance)\b"),
+    ("Financial_Restatement", r"\b(restat(e|es|ed|ement|ements)|non-reliance)\b"),
     ("Material_Event", r"\b(material (event|agreement|change)|default)\b"),
 ]
 DEFAULT_ENTITY_PATTERNS = {

@@ -51,8 +51,9 @@ def parse_filing_feed(
     as_of: Column | None = None,
     run_ts: Column | None = None,
 ) -> DataFrame:
-    """Filing rows of a feed; ``count`` keeps the newest entries only."""
-    entries = read_feed(spark, path)
-    if count is not None:
-        entries = entries.orderBy(F.desc_nulls_last("filing-date"), "filing-href").limit(count)
-    return parse_entries(entries, form_type, cap, as_of, run_ts)
+    """Filing rows of a feed; ``count`` keeps the newest only.
+
+    A feed file is one reply of the service and is read by one task.
+    """
+    rows = parse_entries(read_feed(spark, path), form_type, cap, as_of, run_ts)
+    return rows if count is None else rows.orderBy(F.desc("filing_date"), "url").limit(count)
