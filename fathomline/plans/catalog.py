@@ -17,6 +17,7 @@ from fathomline.functions import labels, providers
 from fathomline.operators import enrich, evaluate, merge, mining, price_features, regress, reports, usage
 from fathomline.operators import forecast as fc
 from fathomline.operators.dates import days_back, since
+from fathomline.operators.sampling import sample_rows
 from fathomline.plans import runs
 from fathomline.plans.runs import rounded
 from fathomline.runtime import scratch_path
@@ -274,7 +275,7 @@ def recent_prices_topk(spark, sf):
 
 @query
 def sample_half(spark, sf):
-    return given.prices(spark, sf).sample(0.5, seed=7)
+    return rounded(sample_rows(given.prices(spark, sf), 0.5, ["symbol", "date"], seed=7))
 
 
 @query

@@ -242,6 +242,8 @@ ORACLES["actual_vs_predicted"] = f"""{parts(*PREDS)}
 SELECT symbol, date, floor((close) * 1000000 + 0.5::DOUBLE) / 1000000 AS price, 'actual' AS type FROM bars WHERE date >= {LAST} - {c.BACK_DAYS}
 UNION ALL SELECT symbol, prediction_date, floor((predicted_close) * 1000000 + 0.5::DOUBLE) / 1000000, 'predicted' FROM preds"""
 ORACLES["recent_prices_topk"] = f"{bars} SELECT {BAR_COLUMNS} FROM bars ORDER BY date DESC, symbol LIMIT 20"
+ORACLES["sample_half"] = f"""{bars} SELECT {BAR_COLUMNS} FROM bars
+WHERE CAST('0x' || substr(md5('7|' || symbol || '|' || date), 1, 8) AS BIGINT) < {1 << 31}"""
 ORACLES["forecast_linear"] = (
     f"{parts(BARS, lines('bars'), outlook(7))} SELECT symbol, ts, {r('forecast', 'lower', 'upper')} FROM outlook"
 )

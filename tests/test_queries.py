@@ -7,11 +7,13 @@ import inspect
 import pytest
 
 import __spark_entry__ as entry
+from fathomline.operators.sampling import sample_rows
 from fathomline.plans import catalog
+from fathomline.sources import given
 from tests.compare import database, difference, spark_rows, sql_rows
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-ROWS_ONLY = ["sample_half", "regressor_scores", "model_roundtrip", "price_run", "trained_classify"]
+ROWS_ONLY = ["regressor_scores", "model_roundtrip", "price_run", "trained_classify"]
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +21,7 @@ def con(sf):
     return database(sf)
 
 
-def test_only_learned_and_sampled_queries_lack_sql():
+def test_only_learned_queries_lack_sql():
     assert set(QUERIES) - set(ORACLES) == set(ROWS_ONLY)
     assert set(ORACLES) <= set(QUERIES)
 
@@ -33,10 +35,12 @@ def test_smoke_entry(spark):
     assert entry.entry(spark).limit(1).count() == 1
 
 
-def test_sample_is_repeatable(spark, sf):
-    whole = QUERIES["scan_prices"](spark, sf).count()
-    one, two = (QUERIES["sample_half"](spark, sf).count() for _ in range(2))
-    assert one == two and 0.4 * whole < one < 0.6 * whole
+def test_sample_does_not_depend_on_the_layout(spark, sf):
+    bars = given.prices(spark, sf)
+    kept = sample_rows(bars, 0.5, ["symbol", "date"]).select("symbol", "date")
+    again = sample_rows(bars.repartition(3), 0.5, ["symbol", "date"]).select("symbol", "date")
+    assert kept.exceptAll(again).count() == again.exceptAll(kept).count() == 0
+    assert 0.4 < kept.count() / bars.count() < 0.6
 
 
 def test_no_collected_frames_in_the_library():
