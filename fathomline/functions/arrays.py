@@ -18,7 +18,7 @@ def run_lengths(ordered: Column) -> Column:
 
     def runs(a: Column) -> Column:
         starts = F.filter(
-            F.sequence(F.lit(0), F.size(a) - 1),
+            F.when(F.size(a) > 0, F.sequence(F.lit(0), F.size(a) - 1)).otherwise(F.array().cast("array<int>")),
             lambda i: (i == 0) | (F.get(a, i) != F.get(a, i - 1)),
         )
         return let(

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fathomline.functions.arrays import run_lengths
 from fathomline.functions.labels import capped, sentiment_label
 from fathomline.functions.providers import (
     Provider,
@@ -138,12 +139,13 @@ def classify(
 def sentiment_by_join(df: DataFrame, col: str, id_col: str, lexicon: DataFrame) -> DataFrame:
     """(``id_col``, sentiment_score) for a lexicon table (term, weight) of any size.
 
-    Words are counted per text before the join and weights are summed per text right
-    after it, so a word common to many texts is split by Spark's adaptive join and only
-    one short row per text is left to shuffle.
+    Words are counted inside each row, joined to the lexicon, and summed per text on the
+    map side, so one short row per text is shuffled for the sum.  Spark broadcasts a
+    lexicon that is small by its own size check; otherwise its adaptive join splits a
+    word common to many texts.
     """
-    words = df.select(id_col, F.explode(F.split(F.lower(col), r"[^a-z]+")).alias("term"))
-    counted = words.groupBy(id_col, "term").agg(F.count("*").alias("n"))
+    words = F.sort_array(F.split(F.lower(col), r"[^a-z]+"))
+    counted = df.select(id_col, F.inline(run_lengths(words))).withColumnRenamed("value", "term")
     weight = F.col("weight") * F.col("n")
     hits = (
         counted.join(lexicon.select("term", "weight"), "term")

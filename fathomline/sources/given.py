@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fathomline.sources.files import spread
+
 FIRST_FILING_DAY = "2024-01-01"
 # A fixed ingestion stamp keeps results comparable between runs.
 LOADED_AT = "2024-12-31 00:00:00"
@@ -21,7 +23,7 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     into one decimal, which keeps the aggregation a hash aggregation with map-side
     partial results.  (symbol, date) is unique by construction.
     """
-    items = table(spark, sf_dir, "lineitem").select(
+    items = spread(table(spark, sf_dir, "lineitem"), "l_partkey").select(
         "l_partkey",
         F.to_date("l_shipdate").alias("date"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),

@@ -129,11 +129,43 @@ def test_error_metrics_and_backtest(spark):
     assert evaluate.error_metrics(zero.where("symbol = 'A'")).first().mape is None
 
 
-def test_backtest_is_an_inner_join_with_pushed_filter(spark, sf):
-    prices = spark.createDataFrame([], schemas.PRICES)
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    bars(spark, [("A", d, 1.0, 1) for d in range(5)]).write.parquet(str(tmp_path / "bars"))
+    return spark.read.parquet(str(tmp_path / "bars"))
+
+
+def test_lookback_reaches_the_scan_and_windows_share_one_sort(stored):
+    out = price_features.price_features(
+        stored, as_of=dt.date(2026, 2, 1), lookback={"days": 30}, target="same_day", layout="keyed"
+    )
+    plan = plan_of(out)
+    assert "GreaterThanOrEqual(date,2026-01-02)" in plan
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+
+
+def test_series_filter_reaches_the_scan_and_unused_columns_do_not(stored):
+    out = price_features.price_features(stored, target="same_day", layout="keyed")
+    plan = plan_of(out.where("symbol = 'A'").select("symbol", "date", "ma_7"))
+    assert "EqualTo(symbol,A)" in plan
+    assert "ReadSchema: struct<symbol:string,date:date,close:double>" in plan
+
+
+def test_backtest_is_an_inner_join_with_pushed_filter(spark, stored):
     made = spark.createDataFrame([], schemas.PREDICTIONS)
-    plan = evaluate.backtest(prices, made, dt.date(2026, 1, 1))._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftOuter" not in plan
+    plan = plan_of(evaluate.backtest(stored, made, dt.date(2026, 2, 1)))
+    assert "Inner" in plan and "LeftOuter" not in plan
+    assert "GreaterThanOrEqual(date,2026-01-02)" in plan
+
+
+def test_line_fit_aggregates_before_the_shuffle(stored):
+    plan = plan_of(forecast.forecast(stored, "symbol", "date", "close"))
+    assert "partial_regr" in plan or "partial_" in plan
+    assert "SortAggregate" not in plan and plan.count("Exchange") == 1
 
 
 def test_holdout_metrics(spark):

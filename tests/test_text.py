@@ -103,6 +103,7 @@ def test_default_rules(spark):
 def test_run_lengths(spark):
     got = one(spark, arrays.run_lengths(F.array(*[F.lit(v) for v in (1, 1, 2, 5, 5, 5)])))
     assert [tuple(r) for r in got] == [(1, 2), (2, 1), (5, 3)]
+    assert one(spark, arrays.run_lengths(F.array().cast("array<int>"))) == []
 
 
 def summary_by_hand(text, count=3):
