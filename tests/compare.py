@@ -41,6 +41,20 @@ def canonical(columns: list[str], rows: list) -> tuple[list[str], list[tuple]]:
     return [columns[i] for i in order], sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
+# Column types that count as the same in both engines.
+SAME_TYPE = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
+def type_difference(df, con, sql: str) -> str | None:
+    ours = {n: SAME_TYPE.get(t, t) for n, t in df.dtypes}
+    theirs = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    wrong = {n: (t, theirs.get(n)) for n, t in ours.items() if theirs.get(n) != t}
+    return f"types differ: {wrong}" if wrong else None
+
+
 def spark_rows(df):
     return canonical(df.columns, [tuple(r) for r in df.collect()])
 
@@ -76,11 +90,12 @@ def main() -> int:
     for name in names:
         start = time.time()
         try:
-            ours = spark_rows(queries[name](spark, sf_dir))
+            df = queries[name](spark, sf_dir)
+            ours = spark_rows(df)
             took = time.time() - start
             if name in oracles:
                 start = time.time()
-                note = difference(ours, sql_rows(con, oracles[name]))
+                note = difference(ours, sql_rows(con, oracles[name])) or type_difference(df, con, oracles[name])
                 note = note or f"equal (sql {time.time() - start:.1f}s)"
             else:
                 note = "rows only"

@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from fathomline.operators.sampling import sample_rows
 from fathomline.plans import catalog
 from fathomline.sources import given
-from tests.compare import database, difference, spark_rows, sql_rows
+from tests.compare import database, difference, spark_rows, sql_rows, type_difference
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 ROWS_ONLY = ["regressor_scores", "model_roundtrip", "price_run", "trained_classify"]
@@ -28,7 +28,9 @@ def test_only_learned_queries_lack_sql():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, sf, con, name):
-    assert difference(spark_rows(QUERIES[name](spark, sf)), sql_rows(con, ORACLES[name])) is None
+    df = QUERIES[name](spark, sf)
+    assert difference(spark_rows(df), sql_rows(con, ORACLES[name])) is None
+    assert type_difference(df, con, ORACLES[name]) is None
 
 
 def test_smoke_entry(spark):
