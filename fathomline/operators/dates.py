@@ -27,3 +27,17 @@ def days_back(as_of: Column, days: int = 0, months: int = 0) -> Column:
 
 def since(df: DataFrame, date: str, as_of=None, days: int = 0, months: int = 0) -> Column:
     return F.col(date) >= days_back(as_of_column(df, date, as_of), days, months)
+
+
+def utc_instant(ts: str) -> Column:
+    """A zone-less time read as UTC, whatever the session time zone is."""
+    second = F.expr(f"extract(SECOND FROM `{ts}`)")
+    return F.make_timestamp_ltz(
+        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), second, F.lit("UTC")
+    )
+
+
+def zoned(df: DataFrame, ts: str, out: str) -> DataFrame:
+    """``df`` with ``out``: the time ``ts`` as an instant, zone-less times read as UTC."""
+    plain = df.schema[ts].dataType.typeName() == "timestamp_ntz"
+    return df.withColumn(out, utc_instant(ts) if plain else F.col(ts))

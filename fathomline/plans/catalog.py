@@ -854,7 +854,7 @@ def stream_new_filings(spark, sf):
 
 def _stream_buckets(spark, sf, every: str) -> DataFrame:
     inbox = scratch_path(spark, "events")
-    events = given.table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    events = given.table(spark, sf, "events").select("ts", "event_type", "value")
     events.write.parquet(inbox)
     path = scratch_path(spark, "buckets")
     incremental.stream_counts(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from fathomline.operators.dates import zoned
 from fathomline.schemas import RUN_LOG
 from fathomline.sources.tables import merge_into
 
@@ -60,10 +61,11 @@ def stream_new_filings(
     The state holds one key per filing within ``lateness``; older state is dropped.
     Each batch writes its own folder, so a replayed batch replaces its rows.
     """
-    fresh = stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(keys)
+    timed = zoned(stream, event_time, "_event_time").withWatermark("_event_time", lateness)
+    fresh = timed.dropDuplicatesWithinWatermark(keys)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        process(batch).write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
+        process(batch.drop("_event_time")).write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
 
     return run_available(fresh, checkpoint, each)
 
@@ -78,12 +80,18 @@ def calendar_bucket(ts: str, every: str) -> Column:
 
 
 def bucket_counts(df: DataFrame, ts: str, by: str, every: str, value: str | None = None) -> DataFrame:
-    """Rows (and the sum of ``value``) per bucket and ``by``; works on batches and streams."""
+    """Rows (and the sum of ``value``) per bucket and ``by``; works on batches and streams.
+
+    A bucket is a day of the time as written; zoned timestamps count by their UTC day.
+    """
     measures = [F.count("*").alias("n")]
     if value:
         measures.append(F.sum(value).alias("total"))
     grouped = df.groupBy(calendar_bucket(ts, every).alias("_w"), by).agg(*measures)
-    return grouped.select(F.to_date("_w.start").alias(every), *[c for c in grouped.columns if c != "_w"])
+    start = F.col("_w.start")
+    if isinstance(df.schema[ts].dataType, T.TimestampType):
+        start = F.to_utc_timestamp(start, F.current_timezone())
+    return grouped.select(F.to_date(start).alias(every), *[c for c in grouped.columns if c != "_w"])
 
 
 def stream_counts(
@@ -100,7 +108,8 @@ def stream_counts(
 
     A batch emits only the buckets it changed and upserts them by (bucket, ``by``).
     """
-    counts = bucket_counts(stream.withWatermark(ts, lateness), ts, by, every, value)
+    timed = zoned(stream, ts, ts).withWatermark(ts, lateness)
+    counts = bucket_counts(timed, ts, by, every, value)
     month = F.date_format(every, "yyyy-MM")
     shaped = counts.select("*", month.alias("month"), F.lit(0).cast("bigint").alias("batch"))
     schema = shaped.schema

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from fathomline import schemas
 from fathomline.operators import merge
+from fathomline.operators.dates import zoned
 from fathomline.sources import payloads, tables
 from fathomline.streaming import incremental
 
@@ -155,7 +156,7 @@ def test_stream_new_filings_once(spark, tmp_path):
 
 
 def test_stream_counts_equal_batch(spark, sf, tmp_path):
-    events = spark.read.parquet(f"{sf}/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    events = spark.read.parquet(f"{sf}/events.parquet").select("ts", "event_type", "value")
     events.write.parquet(str(tmp_path / "in"))
     for every in ("day", "week"):
         path = str(tmp_path / every)
@@ -170,6 +171,19 @@ def test_stream_counts_equal_batch(spark, sf, tmp_path):
             assert {r.week.weekday() for r in stored.collect()} == {0}
 
 
+def test_buckets_do_not_depend_on_the_session_zone(spark):
+    df = spark.createDataFrame([(dt.datetime(2026, 3, 29, 2, 30), "a"), (dt.datetime(2026, 3, 29, 0, 0), "a")], "ts timestamp_ntz, k string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("UTC", "America/New_York", "Europe/Berlin"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            for frame in (df, zoned(df, "ts", "ts")):
+                rows = incremental.bucket_counts(frame, "ts", "k", "day").collect()
+                assert [tuple(r) for r in rows] == [(dt.date(2026, 3, 29), "a", 2)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_run_log(spark, tmp_path):
     path = str(tmp_path / "log")
     incremental.log_run(spark, path, "good", lambda: None)
