@@ -110,7 +110,8 @@ def merge_into(
         target = spark.read.schema(columns).parquet(path)
         # Past the bound on the list the whole table is read; the result is the same.
         if len(touched) <= MAX_TOUCHED:
-            target = target.where(F.col(partition).isin(touched))
+            same = F.col(partition).isin([v for v in touched if v is not None])
+            target = target.where(same | F.col(partition).isNull() if None in touched else same)
     else:
         target = empty
     staged = scratch_path(spark, "merge")

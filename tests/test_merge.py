@@ -78,6 +78,15 @@ def test_merge_into_rewrites_touched_partitions_only(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "prices" / "year=2025").glob("*.parquet")) == old
 
 
+def test_merge_into_keeps_rows_without_a_partition_value(spark, tmp_path):
+    path = str(tmp_path / "prices")
+    undated = spark.createDataFrame([("A", None, 1.0, 0, None)], TABLE)
+    tables.merge_into(undated, path, KEYS, "ingested_at", "year", TABLE)
+    tables.merge_into(undated.withColumn("symbol", F.lit("B")), path, KEYS, "ingested_at", "year", TABLE)
+    tables.merge_into(undated.where("false"), path, KEYS, "ingested_at", "year", TABLE)
+    assert content(spark.read.schema(TABLE).parquet(path)) == [("A", "None", 1.0), ("B", "None", 1.0)]
+
+
 def test_aligned_write(spark, tmp_path):
     path = str(tmp_path / "aligned")
     made = spark.createDataFrame([("v1", 1, "A")], "model_version string, predicted_close int, symbol string")
