@@ -79,10 +79,27 @@ def reset_outputs(
         spark.createDataFrame([], spark.table(name).schema).write.mode("overwrite").insertInto(name)
 
 
+def _place(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    files, target = _place(spark, path)
+    return files.exists(target)
+
+
+def _swap_in(spark: SparkSession, staged: str, path: str, partition: str, columns: T.StructType) -> None:
+    """Replace the partitions of ``path`` that ``staged`` holds."""
+    (
+        spark.read.schema(columns)
+        .parquet(staged)
+        .hint("rebalance", F.col(partition))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
 
 
 def merge_into(
@@ -97,12 +114,17 @@ def merge_into(
     """Merge a batch into a partitioned table, rewriting only the partitions it touches.
 
     ``partition`` is a column that follows from the key, such as the month of its
-    date.  The merged partitions are first written to a new folder and then swapped
-    in with a dynamic partition overwrite; a failed run can be repeated.
+    date.  The merged partitions are first written to a new folder, which is noted next
+    to the table, and then swapped in with a dynamic partition overwrite.  A run that
+    finds such a note finishes that swap first, so a failed run can be repeated.
     """
     spark = source.sparkSession
     merge = merge_upsert if update else merge_insert
     columns = _stored_order(schema, partition)
+    pending = f"{path.rstrip('/')}_pending"
+    unfinished = spark.read.text(pending).first() if exists(spark, pending) else None
+    if unfinished:
+        _swap_in(spark, unfinished["value"], path, partition, columns)
     batch = source.select(*columns.fieldNames()).persist()
     empty = spark.createDataFrame([], columns)
     if exists(spark, path):
@@ -116,13 +138,8 @@ def merge_into(
         target = empty
     staged = scratch_path(spark, "merge")
     replace_table(merge(target, batch, keys, order), staged, partition)
-    (
-        spark.read.schema(columns)
-        .parquet(staged)
-        .hint("rebalance", F.col(partition))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    spark.createDataFrame([(staged,)], "value string").coalesce(1).write.mode("overwrite").text(pending)
+    _swap_in(spark, staged, path, partition, columns)
     batch.unpersist()
+    files, note = _place(spark, pending)
+    files.delete(note, True)

@@ -87,6 +87,23 @@ def test_merge_into_keeps_rows_without_a_partition_value(spark, tmp_path):
     assert content(spark.read.schema(TABLE).parquet(path)) == [("A", "None", 1.0), ("B", "None", 1.0)]
 
 
+def test_merge_into_finishes_an_interrupted_swap(spark, tmp_path):
+    """A run died after staging partition 2026 and half way through replacing it."""
+    path = str(tmp_path / "prices")
+    tables.merge_into(rows(spark, [("A", "2025-05-01", 1.0, 0)]), path, KEYS, "ingested_at", "year", TABLE)
+    staged = str(tmp_path / "staged")
+    tables.replace_table(rows(spark, [("A", "2026-01-01", 3.0, 1), ("C", "2026-01-02", 7.0, 0)]), staged, "year")
+    spark.createDataFrame([(staged,)], "value string").write.text(path + "_pending")
+    batch = rows(spark, [("A", "2026-01-01", 3.0, 1)])
+    tables.merge_into(batch, path, KEYS, "ingested_at", "year", TABLE)
+    assert content(spark.read.schema(TABLE).parquet(path)) == [
+        ("A", "2025-05-01", 1.0),
+        ("A", "2026-01-01", 3.0),
+        ("C", "2026-01-02", 7.0),
+    ]
+    assert not tables.exists(spark, path + "_pending")
+
+
 def test_aligned_write(spark, tmp_path):
     path = str(tmp_path / "aligned")
     made = spark.createDataFrame([("v1", 1, "A")], "model_version string, predicted_close int, symbol string")
