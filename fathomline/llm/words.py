@@ -69,10 +69,10 @@ def chunks(offsets: np.ndarray):
         row = end
 
 
-def spans(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def spans(raw: np.ndarray, lengths: np.ndarray, gap: np.ndarray = _GAP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word in ``raw`` (texts laid end to end) and words per text."""
     first = np.concatenate([[0], np.cumsum(lengths)])
-    inside = ~_GAP[raw]
+    inside = ~gap[raw]
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
@@ -93,6 +93,13 @@ def word_hashes(raw: np.ndarray, begin: np.ndarray, finish: np.ndarray, fold: bo
     return mix((sums[finish] - sums[begin]) * powers(len(raw), down=True)[begin])
 
 
+def batch_bytes(texts: pa.Array):
+    """Yield (bytes, offsets from 0) for chunks of a string array."""
+    body, offsets = text_bytes(texts)
+    for row, end in chunks(offsets):
+        yield body[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
+
+
 def batch_words(texts: pa.Array):
     """Yield (first row, rows, words per row, hashes) for chunks of a string array."""
     body, offsets = text_bytes(texts)
