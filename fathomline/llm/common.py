@@ -45,3 +45,33 @@ def fold_of(doc_id: Column, folds: int = 5) -> Column:
 
 def crc_fold(doc_id: int, folds: int = 5) -> int:
     return zlib.crc32(str(doc_id).encode()) % folds
+
+
+#: Order key of rows without an id: before all others.
+NO_ID = -(1 << 63)
+
+
+def ordered_shards(docs: DataFrame, doc_id: str, text: str, shard_bytes: int) -> tuple[DataFrame, list[int]]:
+    """Deal documents into ranges of ids of about ``shard_bytes`` of text.
+
+    Returns (``ord``, ``doc_id``, ``text``, ``shard``) and the first ``ord`` of every
+    shard.  ``ord`` is the id, or ``NO_ID`` for none; a null text is empty.  Rows of
+    one id share a shard.  The driver reads one number per shard.
+    """
+    rows = docs.select(
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("ord"),
+        F.col(doc_id).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+    )
+    weight = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    wanted = max(1, -(-weight // shard_bytes))
+    keys = rows.select("ord").repartitionByRange(wanted, "ord")
+    found = keys.groupBy(F.spark_partition_id().alias("p")).agg(F.min("ord").alias("first")).collect()
+    firsts = sorted({r["first"] for r in found})
+    bounds = np.array(firsts[1:], np.int64)
+
+    @F.arrow_udf("int")
+    def shard(ord_: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(bounds, ord_.to_numpy(zero_copy_only=False), side="right"), pa.int32())
+
+    return rows.withColumn("shard", shard("ord")), firsts

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from fathomline.llm import bpe, chat, mixing, ngram_join, quality, sharding, toxicity
+from fathomline.llm import bpe, chat, fingerprints, mixing, ngram_join, quality, sharding, token_files, toxicity
 from fathomline.llm.common import stored, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.Spec(spark, VOCABULARY))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), bpe.Spec(spark, VOCABULARY))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(table(spark, sf_dir, "documents"))
 
@@ -52,8 +60,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_fingerprints": op2_fingerprints,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_bpe": op4_bpe,
+    "op6_token_files": op6_token_files,
     "op7_sharding": op7_sharding,
     "op8_chat": op8_chat,
     "op9_mixing": op9_mixing,
