@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from fathomline.llm import bpe, chat, fingerprints, mixing, ngram_join, quality, sharding, token_files, toxicity
+from fathomline.llm import bpe, chat, fingerprints, mixing, neighbours, ngram_join, quality, sharding, token_files, toxicity
 from fathomline.llm.common import stored, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -29,6 +29,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.Spec(spark, VOCABULARY))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), bpe.Spec(spark, VOCABULARY))
 
@@ -63,6 +68,7 @@ QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_bpe": op4_bpe,
+    "op5_neighbours": op5_neighbours,
     "op6_token_files": op6_token_files,
     "op7_sharding": op7_sharding,
     "op8_chat": op8_chat,
