@@ -1,10 +1,10 @@
 """Byte-level BPE over a table of distinct words.
 
-Texts are dealt into blocks of about ``BLOCK_BYTES``.  A block sends its sorted
-distinct words to the word table, in one packed row per word bucket; there each
-distinct word is encoded once, and the packed row returns with the ids of its words
-in the same positions.  The block then spells its texts from those ids.  Decoding
-looks every id up in the table of pieces, whose size is the vocabulary's.
+Each scan task packs its texts into blocks of about ``BLOCK_BYTES``.  A block sends
+its sorted distinct words to the word table, in one packed row per word bucket; there
+each distinct word is encoded once, and the packed row returns with the ids of its
+words in the same positions.  The block then spells its texts from those ids.
+Decoding looks every id up in the table of pieces, whose size is the vocabulary's.
 
 A vocabulary is a tokenizers JSON file with a byte-level pre-tokenizer, no
 normaliser and no post-processing; other files are refused.
@@ -21,12 +21,14 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Words that a task keeps encoded; beyond that it starts afresh.
 KEPT_WORDS = 1 << 20
 
@@ -39,14 +41,13 @@ _WORD = re.compile(
 def _unsure() -> re.Pattern:
     """Characters that ``re`` may class otherwise than the tokenizer does.
 
-    Numbers that are no digits, the four information separators, and characters this
-    Python does not know.  A text with any of them is split by the tokenizer.
+    Numbers that are no digits, the four information separators, characters this
+    Python does not know, and all beyond U+FFFF.  A text with any of them is split by
+    the tokenizer.
     """
-    runs, start = [], None
-    for code in range(sys.maxunicode + 2):
-        odd = code <= sys.maxunicode and (
-            0x1C <= code <= 0x1F or unicodedata.category(chr(code)) in ("No", "Nl", "Cn")
-        )
+    runs, start = [(0x10000, sys.maxunicode)], None
+    for code in range(0x10001):
+        odd = code <= 0xFFFF and (0x1C <= code <= 0x1F or unicodedata.category(chr(code)) in ("No", "Nl", "Cn"))
         if odd and start is None:
             start = code
         elif not odd and start is not None:
@@ -149,32 +150,43 @@ class Spec:
         self.text = spark.sparkContext.broadcast(text)
 
 
-def _pack(words: list[str]) -> bytes:
-    raw = [w.encode("utf-8", "surrogatepass") for w in words]
-    head = np.array([len(raw), *map(len, raw)], "<u4").tobytes()
-    return zlib.compress(head + b"".join(raw), 1)
+def _packed(parts: list[bytes], body: bytes | None = None) -> bytes:
+    head = np.array([len(parts), *map(len, parts)], "<u4").tobytes()
+    return zstandard.compress(head + (b"".join(parts) if body is None else body), 3)
 
 
-def _unpack(blob: bytes) -> list[str]:
-    raw = zlib.decompress(blob)
+def _parts(blob: bytes) -> tuple[list[int], bytes]:
+    raw = zstandard.decompress(blob)
     count = int(np.frombuffer(raw, "<u4", 1)[0])
-    ends = 4 * (count + 1) + np.cumsum(np.frombuffer(raw, "<u4", count, 4), dtype=np.int64)
-    starts = [4 * (count + 1), *ends.tolist()]
-    return [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts, starts[1:])]
+    ends = np.cumsum(np.frombuffer(raw, "<u4", count, 4), dtype=np.int64).tolist()
+    return [0, *ends], raw[4 * (count + 1) :]
+
+
+def _pack(texts: list[str]) -> bytes:
+    return _packed([t.encode() for t in texts])
+
+
+def _unpack(blob: bytes) -> list[str]:
+    ends, body = _parts(blob)
+    return [body[a:b].decode() for a, b in zip(ends, ends[1:])]
 
 
 def _pack_ids(ids: list[bytes]) -> bytes:
-    head = np.array([len(ids), *map(len, ids)], "<u4").tobytes()
-    body = np.frombuffer(b"".join(ids), np.uint8).reshape(-1, 4).T  # equal bytes lie together
-    return zlib.compress(head + body.tobytes(), 1)
+    planes = np.frombuffer(b"".join(ids), np.uint8).reshape(-1, 4).T  # equal bytes lie together
+    return _packed(ids, planes.tobytes())
 
 
 def _unpack_ids(blob: bytes) -> list[bytes]:
-    raw = zlib.decompress(blob)
-    count = int(np.frombuffer(raw, "<u4", 1)[0])
-    ends = np.cumsum(np.frombuffer(raw, "<u4", count, 4), dtype=np.int64).tolist()
-    body = np.frombuffer(raw, np.uint8, -1, 4 * (count + 1)).reshape(4, -1).T.tobytes()
-    return [body[a:b] for a, b in zip([0, *ends], ends)]
+    ends, body = _parts(blob)
+    whole = np.frombuffer(body, np.uint8).reshape(4, -1).T.tobytes()
+    return [whole[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def _block(number: int, ids: list[int | None], texts: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([_packed(texts)], pa.binary())],
+        ["block", "doc_ids", "texts"],
+    )
 
 
 def encode(docs: DataFrame, spec: Spec, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -185,32 +197,45 @@ def encode(docs: DataFrame, spec: Spec, doc_id: str = "doc_id", text: str = "tex
     block of its own.  Other columns are ignored; an empty table gives none.
     """
     weight = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = max(1, -(-weight // BLOCK_BYTES))
-    buckets = blocks
-    rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    )
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    rows = rows.repartition("block")
+    buckets = max(1, -(-weight // BLOCK_BYTES))
+
+    def pack(batches):
+        # A task that is run again reads the same rows in the same order, so its
+        # blocks have the same numbers.
+        number = TaskContext.get().partitionId() << 32
+        ids, texts, held = [], [], 0
+        for batch in batches:
+            for one, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids.append(one)
+                texts.append((whole or "").encode())
+                held += len(texts[-1])
+                if held >= BLOCK_BYTES:
+                    yield _block(number, ids, texts)
+                    number, ids, texts, held = number + 1, [], [], 0
+        if ids:
+            yield _block(number, ids, texts)
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    blocks = rows.mapInArrow(pack, "block long, doc_ids array<long>, texts binary").repartition("block")
 
     def distinct(batches):
         vocabulary = loaded(spec)
-        seen: dict[int, set[str]] = {}
         for batch in batches:
-            for block, whole in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist()):
-                seen.setdefault(block, set()).update(vocabulary.split(whole))
-        for block, words in seen.items():
-            dealt: dict[int, list[str]] = {}
-            for word in sorted(words):
-                dealt.setdefault(zlib.crc32(word.encode("utf-8", "surrogatepass")) % buckets, []).append(word)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(dealt), pa.int64()),
-                    pa.array([block] * len(dealt), pa.int64()),
-                    pa.array([_pack(w) for w in dealt.values()], pa.binary()),
-                ],
-                ["bucket", "block", "words"],
-            )
+            for block, blob in zip(batch.column(0).to_pylist(), batch.column(2)):
+                words: set[str] = set()
+                for whole in _unpack(blob.as_py()):
+                    words.update(vocabulary.split(whole))
+                dealt: dict[int, list[str]] = {}
+                for word in sorted(words):
+                    dealt.setdefault(zlib.crc32(word.encode()) % buckets, []).append(word)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(list(dealt), pa.int64()),
+                        pa.array([block] * len(dealt), pa.int64()),
+                        pa.array([_pack(w) for w in dealt.values()], pa.binary()),
+                    ],
+                    ["bucket", "block", "words"],
+                )
 
     def encoded(batches):
         vocabulary = loaded(spec)
@@ -226,17 +251,19 @@ def encode(docs: DataFrame, spec: Spec, doc_id: str = "doc_id", text: str = "tex
                 [batch.column(1), batch.column(2), pa.array(ids, pa.binary())], ["block", "words", "ids"]
             )
 
-    def spell(texts: pa.Table, table: pa.Table) -> pa.Table:
+    def spell(block: pa.Table, table: pa.Table) -> pa.Table:
         vocabulary = loaded(spec)
         of: dict[str, bytes] = {}
-        for words, ids in zip(table.column("words").to_pylist(), table.column("ids").to_pylist()):
-            of.update(zip(_unpack(words), _unpack_ids(ids)))
-        spelled = [b"".join(map(of.__getitem__, vocabulary.split(t.as_py()))) for t in texts.column("text")]
-        return pa.table({"doc_id": texts.column("doc_id"), "ids": pa.array(spelled, pa.binary())})
-
-    packed = rows.mapInArrow(distinct, "bucket long, block long, words binary")
+        for words, ids in zip(table.column("words"), table.column("ids")):
+            of.update(zip(_unpack(words.as_py()), _unpack_ids(ids.as_py())))
+        texts = _unpack(block.column("texts")[0].as_py())
+        spelled = [b"".join(map(of.__getitem__, vocabulary.split(t))) for t in texts]
+        doc_ids = block.column("doc_ids")[0].values
+        return pa.table({"doc_id": doc_ids, "ids": pa.array(spelled, pa.binary())})
+
+    packed = blocks.mapInArrow(distinct, "bucket long, block long, words binary")
     table = packed.repartition("bucket").mapInArrow(encoded, "block long, words binary, ids binary")
-    return rows.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(spell, "doc_id long, ids binary")
+    return blocks.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(spell, "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, spec: Spec, ids: str = "ids", out: str = "decoded") -> DataFrame:
