@@ -7,6 +7,7 @@ in the same shape.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -145,19 +146,27 @@ def extractive_summary(count: int = 3, min_letters: int = 4) -> Provider:
     return summary
 
 
+def java_literal(text: str) -> str:
+    """A pattern that matches ``text`` itself."""
+    return re.sub(r"([^\w\s])", r"\\\1", text)
+
+
 def pattern_entities(
     patterns: Mapping[str, str] | None = None, places: Sequence[str] | None = None
 ) -> Provider:
     """Struct of four sorted distinct arrays: companies, executives, amounts, locations."""
     chosen = DEFAULT_ENTITY_PATTERNS if patterns is None else patterns
     names = sorted(DEFAULT_PLACES if places is None else places, key=lambda p: (-len(p), p))
-    chosen = {**chosen, "locations": r"(?<!\w)(?:" + "|".join(names) + r")(?!\w)"}
+    if names:
+        chosen = {**chosen, "locations": r"(?<!\w)(?:" + "|".join(map(java_literal, names)) + r")(?!\w)"}
 
     def entities(text: Column) -> Column:
         return F.struct(
             *[
                 F.sort_array(
                     F.array_distinct(F.regexp_extract_all(text, F.lit(chosen[field]), F.lit(0)))
+                    if field in chosen
+                    else F.when(text.isNotNull(), F.array().cast("array<string>"))
                 ).alias(field)
                 for field in ENTITY_FIELDS
             ]

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fathomline.functions.labels import portable, settings_rows
+from fathomline.functions.labels import capped, portable, settings_rows
 
 # Trigger patterns by family, in order of precedence.
 CORRECTION = [
@@ -128,16 +128,17 @@ def conversation_triggers(
     families: Families = TRIGGER_FAMILIES,
     since=None,
     min_len: int = 10,
-    message_chars: int = 1000,
-    context_chars: int = 500,
+    message_chars: int | None = None,
+    context_chars: int | None = None,
 ) -> DataFrame:
     """User turns that match a trigger family, with the assistant text before them.
 
-    Patterns read the whole turn; only the reported message and context are cut.
+    Patterns read the whole turn; the reported message and context are cut only where
+    ``message_chars`` and ``context_chars`` say so.
     With ``since`` (needs a ``ts`` column) older turns are skipped but still give
     context.
     """
-    heard = F.when((F.col("role") == "assistant") & (F.length("text") > 0), F.substring("text", 1, context_chars))
+    heard = F.when((F.col("role") == "assistant") & (F.length("text") > 0), capped(F.col("text"), context_chars))
     rows = carry_forward(turns, "conv_id", "turn", heard, "assistant_context")
     text = F.col("text")
     dense = F.length(F.trim(F.regexp_replace(text, portable(r"\s+"), " "))) >= F.length(text) * 0.5
@@ -148,7 +149,7 @@ def conversation_triggers(
     stamp = ["ts"] if "ts" in turns.columns else []
     return found.select(
         "conv_id", "turn", *stamp, "_hit.type", "_hit.confidence",
-        F.substring(text, 1, message_chars).alias("user_message"), "assistant_context",
+        capped(text, message_chars).alias("user_message"), "assistant_context",
     )
 
 

@@ -61,7 +61,7 @@ def fit_regressor(
     df: DataFrame,
     features: list[str],
     label: str,
-    grid: dict[str, list] | None = None,
+    grid: dict[str, list],
     folds: int = 3,
     order: list | None = None,
     test: float = 0.2,
@@ -86,7 +86,7 @@ def fit_regressor(
         ]
     )
     choices = ParamGridBuilder()
-    for name, values in (grid or SMALL_GRID).items():
+    for name, values in grid.items():
         choices = choices.addGrid(trees.getParam(name), values)
     search = CrossValidator(
         estimator=steps,

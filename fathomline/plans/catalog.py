@@ -106,7 +106,7 @@ def _tested(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, sf: str) -> DataFrame:
-    return files.spread(given.filings(spark, sf), "cik")
+    return given.filings(spark, sf)
 
 
 def _enriched(spark: SparkSession, sf: str, ids: bool = False) -> DataFrame:
@@ -310,7 +310,7 @@ def standardize(spark, sf):
 @query
 def regressor_scores(spark, sf):
     _, metrics = regress.fit_regressor(
-        _next_day(spark, sf), price_features.REGRESSOR_FEATURES, "target_price"
+        _next_day(spark, sf), price_features.REGRESSOR_FEATURES, "target_price", regress.SMALL_GRID
     )
     return metrics
 
@@ -567,7 +567,7 @@ def cached_enrichment(spark, sf):
 @query
 def trained_classify(spark, sf):
     marked = given.table(spark, sf, "documents").join(given.table(spark, sf, "labels"), "doc_id")
-    model = runs.train_classifier(marked.select("doc_id", "text", "quality"), "text", "quality", 1 << 12, 5)
+    model = runs.train_classifier(marked.select("doc_id", "text", "quality"), "text", "quality")
     scored = model.transform(given.table(spark, sf, "documents").select("doc_id", "text"))
     return scored.select("doc_id", "prediction")
 
@@ -640,8 +640,7 @@ def parse_daily_series(spark, sf):
     return rounded(rows.drop("ingested_at"))
 
 
-@query
-def payload_rejects(spark, sf):
+def _bad_replies(spark, sf) -> DataFrame:
     """Event rows as service replies: errors, rate-limit notes and unknown bodies."""
     kind, text = F.col("event_type"), F.concat(F.lit("event "), F.col("event_id").cast("string"))
     body = (
@@ -649,7 +648,12 @@ def payload_rejects(spark, sf):
         .when(kind == "view", F.to_json(F.create_map(F.lit(payloads.NOTE), text)))
         .otherwise(F.to_json(F.create_map(F.lit("other"), text)))
     )
-    bad = given.table(spark, sf, "events").select(body.alias("value"))
+    return given.table(spark, sf, "events").select(body.alias("value"))
+
+
+@query
+def payload_rejects(spark, sf):
+    bad = _bad_replies(spark, sf)
     _, rejects = payloads.parse_daily_series(bad.unionByName(_staged_payloads(given.prices(spark, sf))), "value")
     return rejects.select("reason", "message")
 
@@ -677,14 +681,22 @@ def reset_outputs(spark, sf):
     tables.create_table(spark, raw, schemas.PRICES, f"{root}/raw")
     bars.select(*schemas.PRICES.fieldNames()).write.insertInto(raw)
     tables.create_table(spark, derived, schemas.PRICES, f"{root}/derived")
+    spark.table(raw).write.insertInto(derived)
     spark.table(raw).createOrReplaceTempView(view)
     before = _stored(spark.table(raw).agg(F.count("*").alias("rows_before")), "count")
     tables.reset_outputs(spark, views=[view], tables=[derived], truncate=[raw])
     left = spark.table(raw).agg(F.count("*").alias("rows_after"))
     gone = not spark.catalog.tableExists(derived) and not spark.catalog.tableExists(view)
-    out = before.select("rows_before", left.scalar().alias("rows_after"), F.lit(gone).alias("derived_dropped"))
+    tables.create_table(spark, derived, schemas.PRICES, f"{root}/derived")
+    again = spark.table(derived).count()
+    out = before.select(
+        "rows_before",
+        left.scalar().alias("rows_after"),
+        F.lit(gone).alias("derived_dropped"),
+        F.lit(again).cast("bigint").alias("rows_recreated"),
+    )
     result = _stored(out, "reset_result")
-    spark.sql(f"DROP TABLE IF EXISTS {raw}")
+    tables.reset_outputs(spark, tables=[raw, derived])
     return result
 
 
@@ -797,18 +809,18 @@ def run_log_recent(spark, sf):
 # --- incremental ------------------------------------------------------------
 
 
-def _price_updates(batch: DataFrame) -> DataFrame:
-    rows, _ = payloads.parse_daily_series(batch, "value", run_ts=_stamp())
-    return rows.withColumn("year", F.year("date"))
+def _price_updates(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    rows, rejects = payloads.parse_daily_series(batch, "value", run_ts=_stamp())
+    return rows.withColumn("year", F.year("date")), rejects
 
 
 PRICE_TABLE = T.StructType([*schemas.PRICES.fields, T.StructField("year", T.IntegerType())])
 
 
-def _ingest(spark: SparkSession, inbox: str, path: str, checkpoint: str) -> None:
+def _ingest(spark: SparkSession, inbox: str, path: str, checkpoint: str, rejects_path: str | None = None) -> None:
     incremental.stream_upsert(
         spark.readStream.schema("value string").text(inbox),
-        path, ["symbol", "date"], "ingested_at", "year", PRICE_TABLE, checkpoint, _price_updates,
+        path, ["symbol", "date"], "ingested_at", "year", PRICE_TABLE, checkpoint, _price_updates, rejects_path,
     )
 
 
@@ -820,6 +832,18 @@ def stream_ingest_prices(spark, sf):
     return rounded(spark.read.parquet(path).drop("year", "ingested_at"))
 
 
+@query
+def stream_rejects(spark, sf):
+    """Replies that cannot be read, kept by a streamed ingest of two runs."""
+    inbox, path, bad, state = (scratch_path(spark, n) for n in ("inbox", "prices", "rejects", "state"))
+    replies, good = _bad_replies(spark, sf), _staged_payloads(given.prices(spark, sf))
+    good.write.text(inbox)
+    _ingest(spark, inbox, path, state, bad)
+    replies.write.mode("append").text(inbox)
+    _ingest(spark, inbox, path, state, bad)
+    return spark.read.parquet(bad).select("reason", "message")
+
+
 @query
 def refresh_available_now(spark, sf):
     """Two bounded refreshes; the second brings a corrected close for the last month."""
@@ -835,20 +859,29 @@ def refresh_available_now(spark, sf):
 
 @query
 def stream_new_filings(spark, sf):
-    """The same filings arrive twice; each is enriched once."""
+    """Three deliveries over two runs; each filing is enriched once, whatever its age.
+
+    The first two bring the newer half twice, the last one everything, old filings too.
+    """
     inbox, path, state = (scratch_path(spark, n) for n in ("inbox", "new_filings", "state"))
     rows = given.filings(spark, sf).withColumn("seen_at", F.col("filing_date").cast("timestamp"))
-    rows.write.parquet(inbox)
-    rows.write.mode("append").parquet(inbox)
-    incremental.stream_new_filings(
-        spark.readStream.schema(rows.schema).parquet(inbox),
-        ["cik", "form_type", "filing_date"],
-        "seen_at",
-        "366 days",
-        path,
-        state,
-        lambda batch: enrich.enrich_filings(batch, PROVIDERS, ids=False, run_ts=_stamp()),
-    )
+    newer = rows.where(F.month("filing_date") > 6)
+
+    def enriched(batch: DataFrame) -> DataFrame:
+        made = enrich.enrich_filings(batch, PROVIDERS, ids=False, run_ts=_stamp())
+        return made.withColumn("month", F.date_format("filing_date", "yyyy-MM"))
+
+    def run() -> None:
+        incremental.stream_new_filings(
+            spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(inbox),
+            ["cik", "form_type", "filing_date"], "seen_at", "month", path, state, enriched,
+        )
+
+    newer.coalesce(1).write.parquet(inbox)
+    newer.coalesce(1).write.mode("append").parquet(inbox)
+    run()
+    rows.coalesce(1).write.mode("append").parquet(inbox)
+    run()
     return rounded(spark.read.parquet(path).select("cik", "sentiment_score", "classification"))
 
 

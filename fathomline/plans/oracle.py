@@ -160,8 +160,8 @@ LIGHT_DONE = f"""done AS (
 LIGHT = (FILINGS, KEPT, NUMBERED, scored("kept"), LIGHT_DONE)
 
 COMMENTS = """comments AS (
-  SELECT conv_id * 100 + turn AS id,
-    CASE WHEN role = 'assistant' AND turn > 0 THEN conv_id * 100 + turn - 1 END AS in_reply_to_id,
+  SELECT conv_id * 1000000000 + turn AS id,
+    CASE WHEN role = 'assistant' AND turn > 0 THEN conv_id * 1000000000 + turn - 1 END AS in_reply_to_id,
     CASE role WHEN 'assistant' THEN 'Assistant[bot]' WHEN 'system' THEN 'sys-bot' ELSE role END AS user_login,
     text AS body, 'src/' || CAST(conv_id AS VARCHAR) AS path
   FROM conversations)"""
@@ -422,7 +422,8 @@ ORACLES["payload_rejects"] = """SELECT
 ORACLES["parse_filing_feed"] = f"""{filings}
 SELECT cik, company_name, '8-K' AS form_type, filing_date, filing_text, url FROM filings"""
 ORACLES["reset_outputs"] = (
-    f"{bars} SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after, true AS derived_dropped FROM bars"
+    f"{bars} SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after, true AS derived_dropped, "
+    "CAST(0 AS BIGINT) AS rows_recreated FROM bars"
 )
 
 # --- conversations, comments, usage -----------------------------------------
@@ -431,11 +432,11 @@ _any = {f: "(?i)" + "|".join(f"(?:{p})" for p in ps) for f, _, ps in c.FAMILIES}
 _type = "CASE " + " ".join(f"WHEN regexp_matches(text, {text(p)}) THEN {text(f)}" for f, p in _any.items()) + " END"
 _sure = "CASE type " + " ".join(f"WHEN {text(f)} THEN {text(s)}" for f, s, _ in c.FAMILIES) + " END"
 TRIGGERS = f"""heard AS (
-  SELECT *, last_value(CASE WHEN role = 'assistant' AND length(text) > 0 THEN substr(text, 1, 500) END IGNORE NULLS)
+  SELECT *, last_value(CASE WHEN role = 'assistant' AND length(text) > 0 THEN text END IGNORE NULLS)
     OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS assistant_context
   FROM conversations),
 hits AS (
-  SELECT conv_id, turn, {_type} AS type, substr(text, 1, 1000) AS user_message, assistant_context FROM heard
+  SELECT conv_id, turn, {_type} AS type, text AS user_message, assistant_context FROM heard
   WHERE role = 'user' AND length(text) >= 10
     AND length(trim(regexp_replace(text, '\\s+', ' ', 'g'))) >= length(text) * 0.5),
 triggers AS (
@@ -516,6 +517,7 @@ FROM events WHERE event_type IN ('view', 'signup') ORDER BY ts DESC, event_id LI
 ORACLES["stream_ingest_prices"] = ORACLES["scan_prices"]
 ORACLES["refresh_available_now"] = f"""{bars}
 SELECT symbol, date, floor((close + CASE WHEN date >= {LAST} - {c.BACK_DAYS} THEN 1 ELSE 0 END) * 1000000 + 0.5::DOUBLE) / 1000000 AS close FROM bars"""
+ORACLES["stream_rejects"] = ORACLES["payload_rejects"]
 ORACLES["stream_new_filings"] = (
     f"{light} SELECT cik, floor((sentiment_score) * 1000000 + 0.5::DOUBLE) / 1000000 AS sentiment_score, classification FROM done"
 )

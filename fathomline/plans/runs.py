@@ -11,7 +11,7 @@ from fathomline import schemas
 from fathomline.operators.enrich import TextProviders, enrich_filings
 from fathomline.operators.forecast import forecast_flat
 from fathomline.operators.price_features import REGRESSOR_FEATURES, price_features
-from fathomline.operators.regress import fit_regressor
+from fathomline.operators.regress import FULL_GRID, fit_regressor
 from fathomline.operators.reports import (
     DEAL_TERMS,
     briefing,
@@ -32,7 +32,7 @@ class PriceRun:
 
     lookback: dict | None = field(default_factory=lambda: {"days": 180})
     as_of: object = None
-    grid: dict | None = None
+    grid: dict = field(default_factory=lambda: FULL_GRID)
     horizon: int = 7
     layout: str = "ranged"
     version: str = "trees_v1"
@@ -106,6 +106,10 @@ def train_classifier(df: DataFrame, text: str, label: str, features: int = 1 <<
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column half up by plain arithmetic, which any engine repeats exactly."""
     scale = float(10**digits)
+
+    def floor(x: Column) -> Column:
+        return x - F.pmod(x, F.lit(1.0))  # stays a double: no limit at the size of a bigint
+
     return df.select(
-        *[(F.floor(F.col(c) * scale + 0.5) / scale).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
+        *[(floor(F.col(c) * scale + 0.5) / scale).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
     )

@@ -22,7 +22,7 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 def parse_entries(
     entries: DataFrame,
     form_type: Column | str,
-    cap: int | None = 10_000,
+    cap: int | None = None,
     as_of: Column | None = None,
     run_ts: Column | None = None,
 ) -> DataFrame:
@@ -47,7 +47,7 @@ def parse_filing_feed(
     path: str,
     form_type: str,
     count: int | None = None,
-    cap: int | None = 10_000,
+    cap: int | None = None,
     as_of: Column | None = None,
     run_ts: Column | None = None,
 ) -> DataFrame:

@@ -16,16 +16,6 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Deal the rows of a file scan out over all cores when it has fewer splits than that.
-
-    Meant for long texts in one small file; a scan with many splits is returned as it
-    is, so a large table is never shuffled for this.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def read_csv(
     spark: SparkSession,
     path: str,

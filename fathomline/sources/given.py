@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathomline.sources.files import spread
-
 FIRST_FILING_DAY = "2024-01-01"
 # A fixed ingestion stamp keeps results comparable between runs.
+TURN_PLACES = 1_000_000_000
 LOADED_AT = "2024-12-31 00:00:00"
 
 
@@ -23,7 +22,7 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     into one decimal, which keeps the aggregation a hash aggregation with map-side
     partial results.  (symbol, date) is unique by construction.
     """
-    items = spread(table(spark, sf_dir, "lineitem"), "l_partkey").select(
+    items = table(spark, sf_dir, "lineitem").select(
         "l_partkey",
         F.to_date("l_shipdate").alias("date"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
@@ -69,7 +68,8 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as review comments; an assistant turn replies to the one before."""
-    number = F.col("conv_id") * 100 + F.col("turn")
+    # Far more places than a conversation has turns, so ids of two conversations never meet.
+    number = F.col("conv_id") * TURN_PLACES + F.col("turn")
     login = (
         F.when(F.col("role") == "assistant", "Assistant[bot]")
         .when(F.col("role") == "system", "sys-bot")

@@ -10,7 +10,6 @@ from fathomline import schemas
 from fathomline.operators.merge import merge_insert, merge_upsert
 from fathomline.runtime import scratch_path
 
-MAX_TOUCHED = 100_000
 BASE_TABLES = [
     ("raw_data", "stock_prices", schemas.PRICES),
     ("raw_data", "real_estate", schemas.REAL_ESTATE),
@@ -70,11 +69,15 @@ def create_views(frames: dict[str, DataFrame]) -> None:
 def reset_outputs(
     spark: SparkSession, views: list[str] = (), tables: list[str] = (), truncate: list[str] = ()
 ) -> None:
-    """Drop derived views and tables and empty the raw tables; their schemas stay."""
+    """Drop derived views and tables with their files, and empty the raw tables; their schemas stay."""
     for name in views:
         spark.sql(f"DROP VIEW IF EXISTS {name}")
     for name in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if spark.catalog.tableExists(name):
+            about = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+            spark.sql(f"DROP TABLE {name}")
+            # Dropping a table with a location of its own leaves the files behind.
+            remove(spark, about["data_type"])
     for name in truncate:
         spark.createDataFrame([], spark.table(name).schema).write.mode("overwrite").insertInto(name)
 
@@ -89,6 +92,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    files, target = _place(spark, path)
+    files.delete(target, True)
+
+
 def _swap_in(spark: SparkSession, staged: str, path: str, partition: str, columns: T.StructType) -> None:
     """Replace the partitions of ``path`` that ``staged`` holds."""
     (
@@ -125,15 +133,16 @@ def merge_into(
     unfinished = spark.read.text(pending).first() if exists(spark, pending) else None
     if unfinished:
         _swap_in(spark, unfinished["value"], path, partition, columns)
+        remove(spark, unfinished["value"])
     batch = source.select(*columns.fieldNames()).persist()
     empty = spark.createDataFrame([], columns)
     if exists(spark, path):
-        touched = [r[0] for r in batch.select(partition).distinct().limit(MAX_TOUCHED + 1).collect()]
+        # A join on the partition column, so Spark prunes the folders that are read by
+        # the values of the batch; rows without a value are one folder.
+        touched = batch.select(partition).where(F.col(partition).isNotNull()).distinct()
         target = spark.read.schema(columns).parquet(path)
-        # Past the bound on the list the whole table is read; the result is the same.
-        if len(touched) <= MAX_TOUCHED:
-            same = F.col(partition).isin([v for v in touched if v is not None])
-            target = target.where(same | F.col(partition).isNull() if None in touched else same)
+        dated = target.join(touched, partition, "left_semi").select(*target.columns)
+        target = dated.unionByName(target.where(F.col(partition).isNull()))
     else:
         target = empty
     staged = scratch_path(spark, "merge")
@@ -141,5 +150,5 @@ def merge_into(
     spark.createDataFrame([(staged,)], "value string").coalesce(1).write.mode("overwrite").text(pending)
     _swap_in(spark, staged, path, partition, columns)
     batch.unpersist()
-    files, note = _place(spark, pending)
-    files.delete(note, True)
+    remove(spark, pending)
+    remove(spark, staged)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,8 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fathomline.operators.dates import zoned
+from fathomline.operators.merge import one_per_key
 from fathomline.schemas import RUN_LOG
-from fathomline.sources.tables import merge_into
+from fathomline.sources.tables import exists, merge_into
 
 # A week bucket of 7 days counted from the epoch (a Thursday) starts on Monday with this offset.
 WEEK_START = "4 days"
@@ -37,12 +39,22 @@ def stream_upsert(
     partition: str,
     schema: T.StructType,
     checkpoint: str,
-    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    prepare: Callable[[DataFrame], DataFrame | tuple[DataFrame, DataFrame]] = lambda batch: batch,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
-    """Upsert each micro-batch into a partitioned table; replaying a batch changes nothing."""
+    """Upsert each micro-batch into a partitioned table; replaying a batch changes nothing.
 
-    def each(batch: DataFrame, _: int) -> None:
-        merge_into(prepare(batch), table_path, keys, order, partition, schema)
+    ``prepare`` returns the rows, or the rows and the rejected ones.  Rejects are kept
+    below ``rejects_path``, in a folder per checkpoint and batch that a replay replaces.
+    """
+    run = f"{zlib.crc32(checkpoint.encode()):08x}"
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        made = prepare(batch)
+        rows, rejects = made if isinstance(made, tuple) else (made, None)
+        if rejects_path and rejects is not None:
+            rejects.write.mode("overwrite").parquet(f"{rejects_path}/run={run}/batch={batch_id}")
+        merge_into(rows, table_path, keys, order, partition, schema)
 
     return run_available(stream, checkpoint, each)
 
@@ -50,24 +62,29 @@ def stream_upsert(
 def stream_new_filings(
     stream: DataFrame,
     keys: list[str],
-    event_time: str,
-    lateness: str,
+    order: str,
+    partition: str,
     table_path: str,
     checkpoint: str,
     process: Callable[[DataFrame], DataFrame],
 ) -> StreamingQuery:
-    """Process every filing key once and append the results.
+    """Process every filing key once, whatever its age, and insert the results.
 
-    The state holds one key per filing within ``lateness``; older state is dropped.
-    Each batch writes its own folder, so a replayed batch replaces its rows.
+    The table itself says which keys are done, so no state is kept and nothing is too
+    late.  Of rows with one key in a batch the first by ``order`` counts.  ``process``
+    keeps ``keys`` and adds the column ``partition``, which must follow from them.  A
+    replayed batch finds its keys done.
     """
-    timed = zoned(stream, event_time, "_event_time").withWatermark("_event_time", lateness)
-    fresh = timed.dropDuplicatesWithinWatermark(keys)
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        process(batch.drop("_event_time")).write.mode("overwrite").parquet(f"{table_path}/batch={batch_id}")
+    def each(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        fresh = one_per_key(batch, keys, order, latest=False)
+        if exists(spark, table_path):
+            fresh = fresh.join(spark.read.parquet(table_path).select(*keys), keys, "left_anti").select(*batch.columns)
+        made = process(fresh)
+        merge_into(made, table_path, keys, keys[0], partition, made.schema, update=False)
 
-    return run_available(fresh, checkpoint, each)
+    return run_available(stream, checkpoint, each)
 
 
 def calendar_bucket(ts: str, every: str) -> Column:

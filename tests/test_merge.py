@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fathomline import schemas
+from fathomline import runtime, schemas
 from fathomline.operators import merge
 from fathomline.operators.dates import zoned
 from fathomline.sources import payloads, tables
@@ -123,10 +124,14 @@ def test_reset_keeps_schema(spark, tmp_path):
     tables.create_table(spark, "made_prices", schemas.PRICES, str(tmp_path / "made"))
     spark.createDataFrame([("A", dt.date(2026, 1, 1), 1.0, 1.0, 1.0, 1.0, 1, None)], schemas.PRICES).write.insertInto("raw_prices")
     tables.create_views({"latest_view": spark.table("raw_prices")})
+    spark.table("raw_prices").write.insertInto("made_prices")
     tables.reset_outputs(spark, ["latest_view"], ["made_prices"], ["raw_prices"])
     assert spark.table("raw_prices").count() == 0
     assert spark.table("raw_prices").columns == schemas.PRICES.fieldNames()
     assert not spark.catalog.tableExists("made_prices")
+    tables.create_table(spark, "made_prices", schemas.PRICES, str(tmp_path / "made"))
+    assert spark.table("made_prices").count() == 0
+    spark.sql("DROP TABLE made_prices")
     spark.sql("DROP TABLE raw_prices")
 
 
@@ -162,23 +167,45 @@ def test_stream_upsert_over_runs(spark, tmp_path):
     assert run() == {"2026-01-01": 1.0, "2026-01-02": 5.0}
 
 
-def test_stream_new_filings_once(spark, tmp_path):
-    inbox, path, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+def test_stream_new_filings_once_whatever_their_age(spark, tmp_path):
+    inbox, path = (str(tmp_path / n) for n in ("in", "out"))
     kind = "k string, at timestamp"
 
-    def add(*keys):
-        stamped = spark.createDataFrame([(k,) for k in keys], "k string").withColumn("at", F.lit("2026-01-01").cast("timestamp"))
+    def add(day, *keys):
+        stamped = spark.createDataFrame([(k,) for k in keys], "k string").withColumn("at", F.lit(day).cast("timestamp"))
         stamped.write.mode("append").parquet(inbox)
 
-    def run():
+    def run(state):
         stream = spark.readStream.schema(kind).parquet(inbox)
-        incremental.stream_new_filings(stream, ["k"], "at", "30 days", path, state, lambda b: b.select("k"))
-        return sorted(r.k for r in spark.read.parquet(path).collect())
+        made = lambda b: b.select("k", F.date_format("at", "yyyy-MM-dd").alias("day"), F.ascii("k").alias("part"))
+        incremental.stream_new_filings(stream, ["k"], "at", "part", path, str(tmp_path / state), made)
+        return sorted((r.k, r.day) for r in spark.read.parquet(path).collect())
+
+    add("2026-01-01", "a", "b", "a")
+    assert run("state") == [("a", "2026-01-01"), ("b", "2026-01-01")]
+    add("2020-01-01", "a", "c")
+    everything = [("a", "2026-01-01"), ("b", "2026-01-01"), ("c", "2020-01-01")]
+    assert run("state") == everything
+    assert run("another_state") == everything
+
 
-    add("a", "b", "a")
-    assert run() == ["a", "b"]
-    add("a", "c")
-    assert run() == ["a", "b", "c"]
+def test_stream_keeps_rejects_and_no_staged_copies(spark, tmp_path):
+    inbox, path, bad, state = (str(tmp_path / n) for n in ("in", "out", "bad", "state"))
+    table = T.StructType([*schemas.PRICES.fields, T.StructField("year", T.IntegerType())])
+
+    def prepare(batch):
+        parsed, rejects = payloads.parse_daily_series(batch, "value")
+        return parsed.withColumn("year", F.year("date")), rejects
+
+    root = pathlib.Path(runtime.shared_root(spark).removeprefix("file:"))
+    before = {p.name for p in root.glob("merge-*")}
+    for lines in ([payload("2026-01-01", 1), "no json"], [payload("2026-01-02", 2), "also not"]):
+        spark.createDataFrame([(x,) for x in lines], "value string").write.mode("append").text(inbox)
+        stream = spark.readStream.schema("value string").text(inbox)
+        incremental.stream_upsert(stream, path, KEYS, "ingested_at", "year", table, state, prepare, bad)
+    assert spark.read.schema(table).parquet(path).count() == 2
+    assert [r.reason for r in spark.read.parquet(bad).collect()] == ["unexpected"] * 2
+    assert {p.name for p in root.glob("merge-*")} == before
 
 
 def test_stream_counts_equal_batch(spark, sf, tmp_path):

@@ -60,7 +60,9 @@ def test_trigger_filters_and_context(spark):
             (2, 0, "user", "let's proceed with plan A"),
         ],
     )
-    out = {(r.conv_id, r.turn): r for r in mining.conversation_triggers(df).collect()}
+    whole = {(r.conv_id, r.turn): r for r in mining.conversation_triggers(df).collect()}
+    assert whole[1, 4].assistant_context == long_reply and len(whole[1, 4].user_message) > 2000
+    out = {(r.conv_id, r.turn): r for r in mining.conversation_triggers(df, message_chars=1000, context_chars=500).collect()}
     assert sorted(out) == [(1, 0), (1, 4), (2, 0)]
     assert out[1, 0].assistant_context is None and out[2, 0].assistant_context is None
     assert out[1, 4].assistant_context == "a" * 500

@@ -8,11 +8,11 @@ import pytest
 
 import __spark_entry__ as entry
 from fathomline.operators.sampling import sample_rows
-from fathomline.plans import catalog
+from fathomline.plans import catalog, oracle
 from fathomline.sources import given
 from tests.compare import database, difference, spark_rows, sql_rows, type_difference
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, oracle.ORACLES
 ROWS_ONLY = ["regressor_scores", "model_roundtrip", "price_run", "trained_classify"]
 
 
@@ -21,6 +21,10 @@ def con(sf):
     return database(sf)
 
 
+def test_entry_registers_them_all():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_only_learned_queries_lack_sql():
     assert set(QUERIES) - set(ORACLES) == set(ROWS_ONLY)
     assert set(ORACLES) <= set(QUERIES)

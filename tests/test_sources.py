@@ -62,20 +62,10 @@ def test_feed(spark, tmp_path):
     day = F.lit(dt.date(2026, 2, 1))
     rows = {r.company_name: r for r in feeds.parse_filing_feed(spark, str(tmp_path), "8-K", as_of=day).collect()}
     assert {n: r.cik for n, r in rows.items()} == {"Acme Corp": "320193", "NoLink Inc": "UNKNOWN", "NoText LLC": "99", "Long": "7"}
-    assert rows["NoText LLC"].filing_text == "" and len(rows["Long"].filing_text) == 10_000
+    assert rows["NoText LLC"].filing_text == "" and len(rows["Long"].filing_text) == 12_000
     assert rows["Long"].filing_date == dt.date(2026, 2, 1) and rows["NoLink Inc"].url == ""
-    newest = feeds.parse_filing_feed(spark, str(tmp_path), "8-K", count=2, cap=None, as_of=day).collect()
-    assert [(r.company_name, len(r.filing_text)) for r in newest] == [("Long", 12_000), ("NoText LLC", 0)]
-
-
-def test_spread_leaves_wide_scans_alone(spark, tmp_path):
-    spark.range(100).repartition(16).write.parquet(str(tmp_path / "wide"))
-    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "thin"))
-    cores = spark.sparkContext.defaultParallelism
-    thin = files.spread(spark.read.parquet(str(tmp_path / "thin")), "id")
-    assert thin.rdd.getNumPartitions() == cores
-    wide = spark.range(100).repartition(cores, "id")
-    assert files.spread(wide, "id") is wide
+    newest = feeds.parse_filing_feed(spark, str(tmp_path), "8-K", count=2, cap=9_000, as_of=day).collect()
+    assert [(r.company_name, len(r.filing_text)) for r in newest] == [("Long", 9_000), ("NoText LLC", 0)]
 
 
 def test_staged_formats(spark, tmp_path):

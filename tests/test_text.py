@@ -260,3 +260,16 @@ def test_filing_run(spark, tmp_path):
     assert made["deal_activity"].count() == 5
     assert made["classification_share"].first().classification == "M&A"
     assert made["executive_briefing"].count() == 1
+
+
+def test_places_are_literal_and_may_be_none(spark):
+    df = spark.createDataFrame([("Seen in St. Louis, not StX Louis or San (A) city",)], "t string")
+    found = df.select(providers.pattern_entities(places=["St. Louis", "San (A)"])(F.col("t")).alias("e")).first().e
+    assert found.locations == ["San (A)", "St. Louis"]
+    assert df.select(providers.pattern_entities(places=[])(F.col("t")).alias("e")).first().e.locations == []
+
+
+def test_rounding_keeps_large_values(spark):
+    df = spark.createDataFrame([(1e14,), (-1.5000004,), (float("nan"),)], "x double")
+    a, b, c = (r.x for r in runs.rounded(df).collect())
+    assert (a, b) == (1e14, -1.5) and c != c
