@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.functions.labels import filing_icon
@@ -37,10 +37,10 @@ def sentiment_trends(df: DataFrame) -> DataFrame:
 def classification_share(df: DataFrame, digits: int = 2) -> DataFrame:
     """Filings per class and their percentage of all filings.
 
-    The total is a window over the aggregated classes, one row each.
+    The total is a scalar, so classes may be any in number.
     """
     counts = df.groupBy("classification").agg(F.count("*").alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
+    total = df.agg(F.count("*").alias("n")).scalar()
     share = F.round((F.col("count") * 100.0 / total).cast("double"), digits)
     return counts.select("classification", "count", share.alias("percent")).orderBy(
         F.desc("count"), "classification"

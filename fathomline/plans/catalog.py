@@ -99,9 +99,13 @@ def _predictions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _recent(spark: SparkSession, sf: str, days: int) -> DataFrame:
+    return given.prices(spark, sf, given.day_back(spark, sf, days))
+
+
 def _tested(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.backtest(
-        given.prices(spark, sf), _predictions(spark, sf), given.last_price_day(spark, sf), BACK_DAYS
+        _recent(spark, sf, BACK_DAYS), _predictions(spark, sf), given.last_price_day(spark, sf), BACK_DAYS
     )
 
 
@@ -152,7 +156,8 @@ def symbol_history(spark, sf):
 
 @query
 def lookback_filter(spark, sf):
-    bars, last = given.prices(spark, sf), given.last_price_day(spark, sf)
+    # At least the six months: the exact bound is the filter that follows.
+    bars, last = _recent(spark, sf, 6 * 31), given.last_price_day(spark, sf)
     return rounded(bars.where(since(bars, "date", last, months=6)).select("symbol", "date", "close"))
 
 
@@ -233,7 +238,7 @@ def latest_per_symbol(spark, sf):
 
 @query
 def latest_stats(spark, sf):
-    return rounded(evaluate.latest_stats(given.prices(spark, sf), given.last_price_day(spark, sf)))
+    return rounded(evaluate.latest_stats(_recent(spark, sf, 31), given.last_price_day(spark, sf)))
 
 
 @query
@@ -263,7 +268,7 @@ def ingest_profile(spark, sf):
 def actual_vs_predicted(spark, sf):
     return rounded(
         evaluate.actual_vs_predicted(
-            given.prices(spark, sf), _predictions(spark, sf), given.last_price_day(spark, sf), BACK_DAYS
+            _recent(spark, sf, BACK_DAYS), _predictions(spark, sf), given.last_price_day(spark, sf), BACK_DAYS
         )
     )
 
@@ -373,7 +378,7 @@ def merge_upsert_prices(spark, sf):
     bars, last = given.prices(spark, sf), given.last_price_day(spark, sf)
     cut, start = days_back(last, BACK_DAYS), days_back(last, 2 * BACK_DAYS)
     target = bars.where(F.col("date") < cut).withColumn("ingested_at", _stamp())
-    batch = bars.where(F.col("date") >= start).withColumns(
+    batch = _recent(spark, sf, 2 * BACK_DAYS).where(F.col("date") >= start).withColumns(
         {"close": F.col("close") * 1.01, "ingested_at": _stamp() + F.expr("INTERVAL 1 DAY")}
     )
     return rounded(merge.merge_upsert(target, batch, ["symbol", "date"], "ingested_at"))

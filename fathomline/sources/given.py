@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,14 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def prices(spark: SparkSession, sf_dir: str, first_day: dt.date | None = None) -> DataFrame:
     """Daily bars per brand: first, highest, lowest and last unit price, and quantity.
 
     The (order, line) number places sales within a day.  Order and price are packed
     into one decimal, which keeps the aggregation a hash aggregation with map-side
-    partial results.  (symbol, date) is unique by construction.
+    partial results.  (symbol, date) is unique by construction.  ``first_day`` is a
+    bound on the stored column, so it reaches the parquet filter.
     """
-    items = table(spark, sf_dir, "lineitem").select(
+    sold = table(spark, sf_dir, "lineitem")
+    if first_day is not None:
+        sold = sold.where(F.col("l_shipdate") >= F.lit(first_day).cast(sold.schema["l_shipdate"].dataType))
+    items = sold.select(
         "l_partkey",
         F.to_date("l_shipdate").alias("date"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
@@ -50,6 +56,12 @@ def last_price_day(spark: SparkSession, sf_dir: str) -> Column:
     return table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate").cast("date").alias("d")).scalar()
 
 
+def day_back(spark: SparkSession, sf_dir: str, days: int) -> dt.date:
+    """The day ``days`` days before the latest sale; the driver reads that one value."""
+    last = table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate").cast("date").alias("d")).first()["d"]
+    return last - dt.timedelta(days=days)
+
+
 def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as filings: one company per source, one form type per language."""
     return table(spark, sf_dir, "documents").select(

@@ -51,3 +51,9 @@ def test_sample_does_not_depend_on_the_layout(spark, sf):
 
 def test_no_collected_frames_in_the_library():
     assert "toPandas" not in inspect.getsource(catalog)
+
+
+@pytest.mark.parametrize("name", ["lookback_filter", "latest_stats", "backtest", "actual_vs_predicted"])
+def test_date_bounds_reach_the_scan(spark, sf, name):
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_shipdate" in plan
