@@ -41,5 +41,6 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
         ).first()
         if before == now:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            found = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            return found.union(edges.select("b", "b").distinct())
         before = now

@@ -7,9 +7,8 @@ relations between sets save work on them:
   to a leader share one entry per list.  A list is kept in order of set size and
   read in blocks; a block whose sizes or positions rule out the required overlap
   is skipped as a whole.
-* answer level: the overlap of a probe with every follower of a leader is derived
-  from the probe's overlap with the leader by the few shingles in which follower
-  and leader differ.
+* answer level: the overlap of a set with every follower of a leader is derived from
+  its overlap with the leader by the few shingles in which follower and leader differ.
 
 Only links that can join two components are looked for: all followers of a leader
 are one component, so one link to any of them is enough.  Nothing else is skipped:
@@ -21,7 +20,6 @@ Shingles are compared as 64-bit hashes of their words (see ``words``).
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,8 +35,8 @@ _SLICES = 64
 LIST_PART = 2048
 #: Entries of a list that are skipped or compared together.
 LIST_BLOCK = 32
-#: Followers whose differences are held together when a probe is compared.
-CHUNK = 256
+#: Shingles of the sets that are compared in one place.
+CHUNK_SHINGLES = 1 << 20
 
 
 def _sizes(sets: list[np.ndarray]) -> np.ndarray:
@@ -94,9 +92,8 @@ def _parity_bits(own: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def _fold(bits: bytes, size: int) -> np.ndarray:
-    whole = np.frombuffer(bits, np.uint8)
-    return np.bitwise_xor.reduce(whole.reshape(-1, size), axis=0)
+def _fold(bits: np.ndarray, size: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(bits.reshape(-1, size), axis=0)
 
 
 def set_keys(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
@@ -282,124 +279,198 @@ def _linked(overlap, a, b, percent: int):
 
 
 def _bits_allow(percent: int):
-    """The parity bits of two sets differ in no more places than the sets do."""
+    """Whether two groups can hold a link, by their leaders' parity bits.
 
-    @F.pandas_udf("boolean")
-    def allow(a: pd.Series, n: pd.Series, b: pd.Series, m: pd.Series) -> pd.Series:
+    Bits of two sets differ in no more places than the sets do.  A link allows its two
+    sets to differ by a share of their sizes, and each lies within its group's radius
+    of the leader, so leaders that differ by more than the sum rule the pair out.
+    """
+
+    @F.arrow_udf("boolean")
+    def allow(a: pa.Array, most_a: pa.Array, far_a: pa.Array, b: pa.Array, most_b: pa.Array, far_b: pa.Array) -> pa.Array:
         out = np.ones(len(a), bool)
-        for i, (x, p, y, q) in enumerate(zip(a, n, b, m)):
-            if x is None or y is None:
-                continue
-            size = min(len(x), len(y))
-            differ = int(np.bitwise_count(_fold(x, size) ^ _fold(y, size)).sum())
-            out[i] = differ * (100 + percent) <= (100 - percent) * (p + q)
-        return pd.Series(out)
+        size = (numbers(most_a) + numbers(most_b)) * (100 - percent) // (100 + percent)
+        room = size + numbers(far_a) + numbers(far_b)
+        for i, (x, y) in enumerate(zip(a, b)):
+            if x.is_valid and y.is_valid:
+                x, y = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
+                width = min(len(x), len(y))
+                out[i] = np.bitwise_count(_fold(x, width) ^ _fold(y, width)).sum() <= room[i]
+        return pa.array(out)
+
+    def numbers(column: pa.Array) -> np.ndarray:
+        return column.to_numpy(zero_copy_only=False).astype(np.int64)
 
     return allow
 
 
 def _followers(texts: DataFrame, keys: DataFrame, width: int, percent: int) -> DataFrame:
-    """(id, leader): sets that share their minimum with a smaller id and are similar to it."""
+    """(id, leader, apart): sets that share their minimum with a smaller id and are similar to it.
+
+    ``apart``: shingles that one has and the other has not.
+    """
     firsts = keys.groupBy("least").agg(F.min("id").alias("leader"), F.count("*").alias("c")).filter("c > 1")
     pairs = keys.join(firsts.select("least", "leader"), "least").filter("id != leader").select("id", "leader")
 
-    @F.pandas_udf("boolean")
-    def similar(a: pd.Series, b: pd.Series) -> pd.Series:
-        left = shingle_sets(pa.array(a, pa.large_string()), width)
-        codes, distinct = pd.factorize(b)
-        right = shingle_sets(pa.array(distinct, pa.large_string()), width)
-        out = np.zeros(len(a), bool)
-        for i, x in enumerate(left):
-            y = right[codes[i]]
-            out[i] = _linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent)
-        return pd.Series(out)
+    @F.arrow_udf("int")
+    def apart(a: pa.Array, b: pa.Array) -> pa.Array:
+        left = shingle_sets(a, width)
+        codes = b.dictionary_encode()
+        right = shingle_sets(codes.dictionary, width)
+        out = []
+        for x, code in zip(left, codes.indices.to_pylist()):
+            y = right[code]
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(len(x) + len(y) - 2 * shared if _linked(shared, len(x), len(y), percent) else None)
+        return pa.array(out, pa.int32())
 
     joined = pairs.join(texts.toDF("id", "t"), "id").join(texts.toDF("leader", "u"), "leader")
-    return joined.filter(similar("t", "u")).select("id", "leader")
+    return joined.select("id", "leader", apart("t", "u").alias("apart")).filter("apart is not null")
 
 
-class _Block:
-    """A leader and, for its followers, only what differs from it."""
+class _Index:
+    """Overlaps of a probe with many sets at once.
 
-    def __init__(self, leader: np.ndarray):
-        self.leader = leader
+    A set is held as its base and the shingles in which it differs from that, so the
+    overlap with it is derived from the overlap with the base.
+    """
+
+    def __init__(self):
+        self.bases: list[np.ndarray] = []
+        self.base_of: list[int] = []
         self.sizes: list[int] = []
+        self.groups: list[int] = []
         self.lost: list[np.ndarray] = []
         self.new: list[np.ndarray] = []
 
-    def add(self, own: np.ndarray) -> None:
+    def add(self, own: np.ndarray, group: int, base: int | None) -> None:
+        if base is None:
+            base = len(self.bases)
+            self.bases.append(own)
+        whole = self.bases[base]
+        self.base_of.append(base)
         self.sizes.append(len(own))
-        self.lost.append(np.setdiff1d(self.leader, own, assume_unique=True))
-        self.new.append(np.setdiff1d(own, self.leader, assume_unique=True))
+        self.groups.append(group)
+        self.lost.append(np.setdiff1d(whole, own, assume_unique=True) if whole is not own else own[:0])
+        self.new.append(np.setdiff1d(own, whole, assume_unique=True) if whole is not own else own[:0])
 
     def close(self) -> None:
-        self.size = np.array(self.sizes)
-        self.parts = []
-        for arrays in (self.lost, self.new):
-            owner = np.repeat(np.arange(len(arrays)), [len(x) for x in arrays])
-            self.parts.append((np.concatenate(arrays) if arrays else np.zeros(0, np.uint64), owner))
-
-    def links(self, probe: np.ndarray, percent: int) -> bool:
-        shared = len(np.intersect1d(probe, self.leader, assume_unique=True))
-        if _linked(shared, len(probe), len(self.leader), percent):
-            return True
-        if not self.sizes:
-            return False
-        (lost, of_lost), (new, of_new) = self.parts
-        overlap = np.full(len(self.size), shared)
-        overlap -= np.bincount(of_lost[_member(lost, probe)], minlength=len(self.size))
-        overlap += np.bincount(of_new[_member(new, probe)], minlength=len(self.size))
-        return bool(_linked(overlap, len(probe), self.size, percent).any())
-
-
-def _member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(values), bool)
-    at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
-    return ordered[at] == values
-
-
-def _probe_links(pairs: DataFrame, groups: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(probe id, leader) for probes linked to the leader or one of its followers."""
-    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
-    blocks = pairs.select("block", chunks.alias("chunks")).distinct()
-    leaders = blocks.select("block", every, F.lit(0).alias("kind"), F.col("block").alias("id"))
-    grouped = groups.select("id", F.col("grp").alias("block")).filter("id != block")
-    members = blocks.join(grouped, "block").select(
-        "block", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"), F.lit(1).alias("kind"), "id"
+        self.size, self.group, self.base = map(np.array, (self.sizes, self.groups, self.base_of))
+        self.lists = [_inverted(x) for x in (self.bases, self.lost, self.new)]
+
+    def linked_groups(self, probe: np.ndarray, percent: int) -> np.ndarray:
+        base, lost, new = (_hits(one, probe) for one in self.lists)
+        overlap = base[self.base] - lost + new
+        return np.unique(self.group[_linked(overlap, len(probe), self.size, percent)])
+
+
+def _inverted(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
+    tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(tokens)
+    return tokens[order], owner[order], len(sets)
+
+
+def _hits(inverted: tuple[np.ndarray, np.ndarray, int], probe: np.ndarray) -> np.ndarray:
+    """How many shingles of the probe each set has."""
+    tokens, owner, sets = inverted
+    if not len(tokens):
+        return np.zeros(sets, np.int64)
+    low, high = np.searchsorted(tokens, probe, "left"), np.searchsorted(tokens, probe, "right")
+    count = high - low
+    place = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+    return np.bincount(owner[place], minlength=sets)
+
+
+class _Merges:
+    """Union of groups; says which links join two that were apart."""
+
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def _root(self, x: int) -> int:
+        while (up := self.above.get(x, x)) != x:
+            self.above[x] = self.above.get(up, up)
+            x = up
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self._root(a), self._root(b)
+        if a != b:
+            self.above[max(a, b)] = min(a, b)
+        return a != b
+
+
+def _family_links(pairs: DataFrame, groups: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between groups, found by comparing all sets of a family of groups.
+
+    A family is what the possible pairs hold together.  Its sets are dealt into
+    chunks of bounded size; every set of the family is compared with every chunk, and
+    a chunk reports only links that join groups it had not joined yet.
+    """
+    family = components(pairs, "probe", "block").select(F.col("node").alias("grp"), F.col("component").alias("family"))
+    sets = groups.join(family, "grp").select("id", "grp", "family", "n")
+    weight = sets.groupBy("family").agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("chunks"))
+    sets = sets.join(weight, "family").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+    sets = stored(sets.select("family", "chunk", "chunks", "id", "grp"), "families")
+    members = sets.select("family", "chunk", F.lit(1).alias("kind"), "id", "grp")
+    leaders = (
+        sets.filter("id != grp")
+        .select("family", "chunk", F.lit(0).alias("kind"), F.col("grp").alias("id"), "grp")
+        .distinct()
     )
-    probes = (
-        pairs.select("block", "probe", chunks.alias("chunks"))
-        .join(groups.select("id", F.col("grp").alias("probe")), "probe")
-        .select("block", every, F.lit(2).alias("kind"), "id")
+    others = (
+        sets.filter("chunks > 1")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .filter("other != chunk")
+        .select("family", F.col("other").alias("chunk"), F.lit(2).alias("kind"), "id", "grp")
     )
-    rows = leaders.union(members).union(probes).join(texts.toDF("id", "text"), "id")
-    rows = rows.repartition("block", "chunk").sortWithinPartitions("block", "chunk", "kind", "id")
+    rows = leaders.union(members).union(others).join(texts.toDF("id", "text"), "id")
+    rows = rows.select("family", "chunk", "kind", "id", "grp", "text")
+    rows = rows.repartition("family", "chunk").sortWithinPartitions("family", "chunk", "kind", "grp", "id")
 
     def read(batches):
-        at, block, closed = None, None, False
-        for batch in batches:
-            where = [batch.column(i).to_pylist() for i in range(4)]
-            found = []
-            for b, c, kind, one, own in zip(*where, shingle_sets(batch.column(4), width)):
-                if (b, c) != at:
-                    at, block, closed = (b, c), None, False
-                if block is None:
-                    block = _Block(own)
-                if kind == 1:
-                    block.add(own)
-                elif kind == 2:
-                    if not closed:
-                        block.close()
-                        closed = True
-                    if block.links(own, percent):
-                        found.append((one, b))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["id", "leader"]
-            )
+        at, index, bases, members, merges = None, _Index(), {}, [], _Merges()
+        found: list[tuple[int, int]] = []
 
-    return rows.select("block", "chunk", "kind", "id", "text").mapInArrow(read, "id long, leader long")
+        def probe(own, grp):
+            found.extend((grp, int(g)) for g in index.linked_groups(own, percent) if merges.join(grp, int(g)))
+
+        def close():
+            """All members are in: from now on sets are compared."""
+            index.close()
+            for own, grp in members:
+                probe(own, grp)
+            members.clear()
+
+        for batch in batches:
+            where = [batch.column(i).to_pylist() for i in range(5)]
+            for f, c, kind, one, grp, own in zip(*where, shingle_sets(batch.column(5), width)):
+                if (f, c) != at:
+                    if members:
+                        close()
+                    at, index, bases, merges = (f, c), _Index(), {}, _Merges()
+                if kind == 0:
+                    bases[grp] = len(index.bases)
+                    index.bases.append(own)
+                elif kind == 1:
+                    index.add(own, grp, bases.get(grp))
+                    members.append((own, grp))
+                elif index.groups:
+                    if members:
+                        close()
+                    probe(own, grp)
+            yield _edges(found)
+            found.clear()
+        if members:
+            close()
+        yield _edges(found)
+
+    return rows.mapInArrow(read, "id long, leader long")
+
+
+def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["id", "leader"])
 
 
 def similar_documents(
@@ -448,24 +519,27 @@ def similar_documents(
     grouped = bits.select("id").join(follow.groupBy("id").agg(F.min("leader").alias("leader")), "id", "left")
     grouped = grouped.select("id", F.coalesce("leader", "id").alias("grp"))
     sizes = grouped.groupBy("grp").agg(F.count("*").alias("members"))
-    groups = stored(grouped.join(sizes, "grp").select("id", "grp", "members"), "groups")
+    lengths = live.groupBy("id").agg(F.max("n").alias("n"))
+    groups = stored(grouped.join(sizes, "grp").join(lengths, "id").select("id", "grp", "members", "n"), "groups")
 
     cells = (
-        lists.join(groups, "id")
+        lists.join(groups.select("id", "grp", "members"), "id")
         .groupBy("token", "grp", "members")
         .agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("rest"))
     )
     pairs = stored(_group_pairs(cells, percent), "pairs")
-    single = pairs.filter("members = 1")
-    checked = (
-        single.join(bits.toDF("probe", "n_a", "bits_a"), "probe")
-        .join(bits.toDF("block", "n_b", "bits_b"), "block")
-        .filter(_bits_allow(percent)("bits_a", "n_a", "bits_b", "n_b"))
-        .select("probe", "block", "members")
+    radius = follow.groupBy(F.col("leader").alias("grp")).agg(F.max("apart").alias("far"))
+    about = groups.groupBy("grp").agg(F.max("n").alias("most")).join(radius, "grp", "left")
+    about = about.join(bits.select(F.col("id").alias("grp"), "bits"), "grp", "left")
+    about = about.select("grp", "bits", "most", F.coalesce("far", F.lit(0)).alias("far"))
+    possible = (
+        pairs.join(about.toDF("probe", "bits_a", "most_a", "far_a"), "probe")
+        .join(about.toDF("block", "bits_b", "most_b", "far_b"), "block")
+        .filter(_bits_allow(percent)("bits_a", "most_a", "far_a", "bits_b", "most_b", "far_b"))
+        .select("probe", "block")
     )
-    probed = stored(checked.union(pairs.filter("members > 1").select("probe", "block", "members")), "probed")
-    links = _probe_links(probed, groups, texts, width, percent)
-    edges = copies.union(follow).union(links)
+    links = _family_links(possible, groups, texts, width, percent)
+    edges = copies.union(follow.select("id", "leader")).union(links)
     found = components(edges, "id", "leader").withColumnRenamed("node", "id")
     return keys.join(found, "id", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
