@@ -130,13 +130,15 @@ def conversation_triggers(
     min_len: int = 10,
     message_chars: int | None = None,
     context_chars: int | None = None,
+    newest_first: bool = False,
 ) -> DataFrame:
     """User turns that match a trigger family, with the assistant text before them.
 
     Patterns read the whole turn; the reported message and context are cut only where
     ``message_chars`` and ``context_chars`` say so.
     With ``since`` (needs a ``ts`` column) older turns are skipped but still give
-    context.
+    context.  ``newest_first`` sorts by ``ts`` (undated last), then by conversation and
+    turn from the end.
     """
     heard = F.when((F.col("role") == "assistant") & (F.length("text") > 0), capped(F.col("text"), context_chars))
     rows = carry_forward(turns, "conv_id", "turn", heard, "assistant_context")
@@ -147,10 +149,12 @@ def conversation_triggers(
         keep = keep & (F.col("ts").isNull() | (F.col("ts") >= F.lit(since).cast("timestamp_ntz")))
     found = rows.where(keep).withColumn("_hit", trigger(text, families)).where(F.col("_hit").isNotNull())
     stamp = ["ts"] if "ts" in turns.columns else []
-    return found.select(
+    out = found.select(
         "conv_id", "turn", *stamp, "_hit.type", "_hit.confidence",
         capped(text, message_chars).alias("user_message"), "assistant_context",
     )
+    latest = [F.desc_nulls_last(c) for c in stamp]
+    return out.orderBy(*latest, F.desc("conv_id"), F.desc("turn")) if newest_first else out
 
 
 def trigger_counts(triggers: DataFrame) -> DataFrame:

@@ -60,6 +60,8 @@ def test_trigger_filters_and_context(spark):
             (2, 0, "user", "let's proceed with plan A"),
         ],
     )
+    newest = mining.conversation_triggers(df, newest_first=True).collect()
+    assert [(r.conv_id, r.turn) for r in newest] == [(2, 0), (1, 4), (1, 0)]
     whole = {(r.conv_id, r.turn): r for r in mining.conversation_triggers(df).collect()}
     assert whole[1, 4].assistant_context == long_reply and len(whole[1, 4].user_message) > 2000
     out = {(r.conv_id, r.turn): r for r in mining.conversation_triggers(df, message_chars=1000, context_chars=500).collect()}
