@@ -33,6 +33,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches in slices, so that few texts at a time become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def signed(values: np.ndarray) -> pa.Array:
     """64-bit hashes as the signed longs Spark has."""
     return pa.array(np.ascontiguousarray(values).view(np.int64), pa.int64())

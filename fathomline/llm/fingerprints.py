@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import ordered_shards
+from fathomline.llm.common import ordered_shards, slices
 from fathomline.llm.words import mix, powers
 
 #: Code points of a k-mer, components of a fingerprint, k-mers of a component.
@@ -103,7 +103,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     @F.arrow_udf("string")
     def printed(texts: pa.Array) -> pa.Array:
-        return pa.array([written(signature(t)) for t in texts.to_pylist()], pa.string())
+        return pa.array((written(signature(t.as_py())) for t in texts), pa.string())
 
     return docs.select(F.col(doc_id).alias("doc_id"), printed(F.coalesce(F.col(text), F.lit(""))).alias("fingerprint"))
 
@@ -136,7 +136,7 @@ def edit_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     def read(batches):
         before = None
         ended = False
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for one, whole, follows in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if ended:

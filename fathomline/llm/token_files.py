@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.llm.bpe import Spec, loaded
-from fathomline.llm.common import ordered_shards
+from fathomline.llm.common import ordered_shards, slices
 from fathomline.runtime import scratch_path
 
 #: Bytes of text in a shard, ids in a sequence, sequences in a record batch.
@@ -156,9 +156,7 @@ def write_token_files(
     def write(batches):
         vocabulary = loaded(spec)
         index = sequences = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             if sequences is None:
                 shard = batch.column(3)[0].as_py()
                 name = f"{shard:08d}.arrows"
