@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import re
-import sys
+import struct
 import unicodedata
 import zlib
 from functools import cache
@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from fathomline.llm.common import slices
+
 #: Bytes of text in a block.
 BLOCK_BYTES = 8 << 20
 #: Words that a task keeps encoded; beyond that it starts afresh.
@@ -38,22 +40,16 @@ _WORD = re.compile(
 
 
 @cache
-def _unsure() -> re.Pattern:
-    """Characters that ``re`` may class otherwise than the tokenizer does.
+def _unsure() -> np.ndarray:
+    """UTF-16 units that ``re`` may class otherwise than the tokenizer does.
 
     Numbers that are no digits, the four information separators, characters this
     Python does not know, and all beyond U+FFFF.  A text with any of them is split by
     the tokenizer.
     """
-    runs, start = [(0x10000, sys.maxunicode)], None
-    for code in range(0x10001):
-        odd = code <= 0xFFFF and (0x1C <= code <= 0x1F or unicodedata.category(chr(code)) in ("No", "Nl", "Cn"))
-        if odd and start is None:
-            start = code
-        elif not odd and start is not None:
-            runs.append((start, code - 1))
-            start = None
-    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs) + "]")
+    table = np.array([unicodedata.category(chr(code)) in ("No", "Nl", "Cn", "Cs") for code in range(1 << 16)])
+    table[0x1C:0x20] = True
+    return table
 
 
 def _byte_of() -> dict[str, int]:
@@ -104,7 +100,7 @@ class Vocabulary:
         return words
 
     def _split(self, text: str) -> list[str]:
-        if text.isascii() and not re.search("[\x1c-\x1f]", text) or not _unsure().search(text):
+        if not _unsure()[np.frombuffer(text.encode("utf-16-le"), "<u2")].any():
             return _WORD.findall(text)
         spans = self._tokenizer.pre_tokenizer.pre_tokenize_str(text)
         return [text[a:b] for _, (a, b) in spans]
@@ -112,16 +108,17 @@ class Vocabulary:
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word as little-endian unsigned 32-bit integers."""
         found = self._tokenizer.encode_batch(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        ids = [e.ids for e in found]
+        return [struct.pack(f"<{len(i)}I", *i) for i in ids]
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text; words seen before in this task are not encoded again."""
-        words = self.split(text)
-        new = list(set(words) - self._kept.keys())
-        if len(self._kept) + len(new) > KEPT_WORDS:
-            self._kept, new = {}, list(set(words))
-        self._kept.update(zip(new, self.encode_words(new)))
-        return b"".join(map(self._kept.__getitem__, words))
+        if len(self._kept) > KEPT_WORDS:
+            self._kept.clear()
+        words, kept = self.split(text), self._kept
+        if new := list({w for w in words if w not in kept}):
+            kept.update(zip(new, self.encode_words(new)))
+        return b"".join(map(kept.__getitem__, words))
 
     def decode(self, ids: bytes) -> str:
         pieces = map(self._pieces.__getitem__, np.frombuffer(ids, "<u4").tolist())
@@ -204,7 +201,7 @@ def encode(docs: DataFrame, spec: Spec, doc_id: str = "doc_id", text: str = "tex
         # blocks have the same numbers.
         number = TaskContext.get().partitionId() << 32
         ids, texts, held = [], [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for one, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids.append(one)
                 texts.append((whole or "").encode())
@@ -269,10 +266,11 @@ def encode(docs: DataFrame, spec: Spec, doc_id: str = "doc_id", text: str = "tex
 def decode(encoded: DataFrame, spec: Spec, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add ``out``: the text of ``ids``; bytes that are no UTF-8 become U+FFFD.  Null ids: null."""
 
-    @F.pandas_udf("string")
-    def spelled(column):
+    @F.arrow_udf("string")
+    def spelled(column: pa.Array) -> pa.Array:
         vocabulary = loaded(spec)
-        return column.map(vocabulary.decode, na_action="ignore")
+        # Row by row: a batch of ids is the largest thing a worker holds.
+        return pa.array((vocabulary.decode(x.as_buffer()) if x.is_valid else None for x in column), pa.string())
 
     return encoded.withColumn(out, spelled(ids))
 
