@@ -10,9 +10,10 @@ relations between sets save work on them:
 * answer level: the overlap of a set with every follower of a leader is derived from
   its overlap with the leader by the few shingles in which follower and leader differ.
 
-Only links that can join two components are looked for: all followers of a leader
-are one component, so one link to any of them is enough.  Nothing else is skipped:
-every pair of sets that reaches the threshold ends in one component.
+Every pair of sets that reaches the threshold is found and counted.  Written out are
+the links that join two groups, which is enough for components, and for each set the
+number of rows it links with; the pairs themselves, whose number grows with the square
+of a group, are not.
 
 Shingles are compared as 64-bit hashes of their words (see ``words``).
 """
@@ -96,22 +97,25 @@ def _fold(bits: np.ndarray, size: int) -> np.ndarray:
     return np.bitwise_xor.reduce(bits.reshape(-1, size), axis=0)
 
 
+def _key_columns(sets: list[np.ndarray]) -> list[pa.Array]:
+    """Size and two sums of every set; together they name the set."""
+    mixed = [mix(s) for s in sets]
+    first = [m.sum(dtype=np.uint64) for m in mixed]
+    second = [np.bitwise_xor.reduce(mix(m + np.uint64(11))) if len(m) else np.uint64(0) for m in mixed]
+    return [pa.array(_sizes(sets), pa.int64()), signed(np.array(first, np.uint64)), signed(np.array(second, np.uint64))]
+
+
 def set_keys(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     """One short row per document: set size, set identity, a minimum and parity bits."""
 
     def read(batches):
         for batch in batches:
             sets = shingle_sets(batch.column(1), width)
-            mixed = [mix(s) for s in sets]
-            first = [m.sum(dtype=np.uint64) for m in mixed]
-            second = [np.bitwise_xor.reduce(mix(m + np.uint64(11))) if len(m) else np.uint64(0) for m in mixed]
-            least = [m.min() if len(m) else np.uint64(0) for m in mixed]
+            least = [mix(s).min() if len(s) else np.uint64(0) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array(_sizes(sets), pa.int64()),
-                    signed(np.array(first, np.uint64)),
-                    signed(np.array(second, np.uint64)),
+                    *_key_columns(sets),
                     signed(np.array(least, np.uint64)),
                     pa.array([_parity_bits(s) for s in sets], pa.binary()),
                 ],
@@ -304,13 +308,31 @@ def _bits_allow(percent: int):
     return allow
 
 
+def _set_texts(docs: DataFrame, sets: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
+    """(id, key1, text): one text for every set of ``sets``, from the row that holds it."""
+
+    def read(batches):
+        for batch in batches:
+            keys = _key_columns(shingle_sets(batch.column(1), width))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *keys, batch.column(1)], ["id", "n", "key1", "key2", "text"])
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).filter("id is not null")
+    keyed = rows.mapInArrow(read, "id long, n long, key1 long, key2 long, text string")
+    found = keyed.join(sets.select("id", "n", "key1", "key2", "rows"), ["id", "n", "key1", "key2"])
+    found = stored(found.select("id", "key1", "rows", "text"), "active-texts")
+    # Only a set of several rows can meet its id twice.
+    once = found.filter("rows > 1").groupBy("id", "key1").agg(F.first("text").alias("text"))
+    return found.filter("rows = 1").select("id", "key1", "text").union(stored(once, "copied-texts"))
+
+
 def _followers(texts: DataFrame, keys: DataFrame, width: int, percent: int) -> DataFrame:
     """(id, leader, apart): sets that share their minimum with a smaller id and are similar to it.
 
     ``apart``: shingles that one has and the other has not.
     """
-    firsts = keys.groupBy("least").agg(F.min("id").alias("leader"), F.count("*").alias("c")).filter("c > 1")
-    pairs = keys.join(firsts.select("least", "leader"), "least").filter("id != leader").select("id", "leader")
+    firsts = keys.groupBy("least").agg(F.min(F.struct("id", "key1")).alias("first"), F.count("*").alias("c"))
+    firsts = firsts.filter("c > 1").select("least", F.col("first.id").alias("leader"), F.col("first.key1").alias("key"))
+    pairs = keys.join(firsts, "least").filter("id != leader or key1 != key").select("id", "key1", "leader", "key")
 
     @F.arrow_udf("int")
     def apart(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -324,7 +346,7 @@ def _followers(texts: DataFrame, keys: DataFrame, width: int, percent: int) -> D
             out.append(len(x) + len(y) - 2 * shared if _linked(shared, len(x), len(y), percent) else None)
         return pa.array(out, pa.int32())
 
-    joined = pairs.join(texts.toDF("id", "t"), "id").join(texts.toDF("leader", "u"), "leader")
+    joined = pairs.join(texts.toDF("id", "key1", "t"), ["id", "key1"]).join(texts.toDF("leader", "key", "u"), ["leader", "key"])
     return joined.select("id", "leader", apart("t", "u").alias("apart")).filter("apart is not null")
 
 
@@ -340,10 +362,11 @@ class _Index:
         self.base_of: list[int] = []
         self.sizes: list[int] = []
         self.groups: list[int] = []
+        self.rows: list[int] = []
         self.lost: list[np.ndarray] = []
         self.new: list[np.ndarray] = []
 
-    def add(self, own: np.ndarray, group: int, base: int | None) -> None:
+    def add(self, own: np.ndarray, group: int, rows: int, base: int | None) -> None:
         if base is None:
             base = len(self.bases)
             self.bases.append(own)
@@ -351,17 +374,21 @@ class _Index:
         self.base_of.append(base)
         self.sizes.append(len(own))
         self.groups.append(group)
+        self.rows.append(rows)
         self.lost.append(np.setdiff1d(whole, own, assume_unique=True) if whole is not own else own[:0])
         self.new.append(np.setdiff1d(own, whole, assume_unique=True) if whole is not own else own[:0])
 
     def close(self) -> None:
         self.size, self.group, self.base = map(np.array, (self.sizes, self.groups, self.base_of))
+        self.weight = np.array(self.rows, np.int64)
         self.lists = [_inverted(x) for x in (self.bases, self.lost, self.new)]
 
-    def linked_groups(self, probe: np.ndarray, percent: int) -> np.ndarray:
+    def linked(self, probe: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+        """Groups that hold a set linked with the probe, and the rows of all such sets."""
         base, lost, new = (_hits(one, probe) for one in self.lists)
         overlap = base[self.base] - lost + new
-        return np.unique(self.group[_linked(overlap, len(probe), self.size, percent)])
+        hit = _linked(overlap, len(probe), self.size, percent)
+        return np.unique(self.group[hit]), int(self.weight[hit].sum())
 
 
 def _inverted(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
@@ -401,51 +428,57 @@ class _Merges:
         return a != b
 
 
-def _family_links(pairs: DataFrame, groups: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between groups, found by comparing all sets of a family of groups.
+def _family_links(pairs: DataFrame, groups: DataFrame, live: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between groups, and for every set the number of rows of other sets it links with.
 
-    A family is what the possible pairs hold together.  Its sets are dealt into
-    chunks of bounded size; every set of the family is compared with every chunk, and
-    a chunk reports only links that join groups it had not joined yet.
+    A family is what the possible pairs hold together, or a group of several sets by
+    itself.  Its sets are dealt into chunks of bounded size; every set of the family is
+    compared with every chunk.  A chunk reports (id, leader) for links that join groups
+    it had not joined yet, and (id, key1, linked) for every set that links with others.
     """
     family = components(pairs, "probe", "block").select(F.col("node").alias("grp"), F.col("component").alias("family"))
-    sets = groups.join(family, "grp").select("id", "grp", "family", "n")
+    sets = groups.join(family, "grp", "left").filter("family is not null or members > 1")
+    sets = sets.select("id", "grp", F.coalesce("family", "grp").alias("family"))
+    sets = sets.join(live.select("id", "key1", "rows", "n"), "id")
     weight = sets.groupBy("family").agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("chunks"))
-    sets = sets.join(weight, "family").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-    sets = stored(sets.select("family", "chunk", "chunks", "id", "grp"), "families")
-    members = sets.select("family", "chunk", F.lit(1).alias("kind"), "id", "grp")
-    leaders = (
-        sets.filter("id != grp")
-        .select("family", "chunk", F.lit(0).alias("kind"), F.col("grp").alias("id"), "grp")
-        .distinct()
+    sets = sets.join(weight, "family").withColumn("chunk", F.pmod(F.xxhash64("id", "key1"), F.col("chunks")).cast("int"))
+    sets = stored(sets.select("family", "chunk", "chunks", "id", "key1", "rows", "grp"), "families")
+    members = sets.select("family", "chunk", F.lit(1).alias("kind"), "id", "key1", "rows", "grp")
+    heads = live.groupBy(F.col("id").alias("grp")).agg(F.min("key1").alias("key1"))
+    leaders = sets.filter("id != grp").select("family", "chunk", "grp").distinct().join(heads, "grp")
+    leaders = leaders.select(
+        "family", "chunk", F.lit(0).alias("kind"), F.col("grp").alias("id"), "key1", F.lit(0).cast("long").alias("rows"), "grp"
     )
     others = (
         sets.filter("chunks > 1")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .filter("other != chunk")
-        .select("family", F.col("other").alias("chunk"), F.lit(2).alias("kind"), "id", "grp")
+        .select("family", F.col("other").alias("chunk"), F.lit(2).alias("kind"), "id", "key1", "rows", "grp")
     )
-    rows = leaders.union(members).union(others).join(texts.toDF("id", "text"), "id")
-    rows = rows.select("family", "chunk", "kind", "id", "grp", "text")
-    rows = rows.repartition("family", "chunk").sortWithinPartitions("family", "chunk", "kind", "grp", "id")
+    rows = leaders.union(members).union(others).join(texts, ["id", "key1"])
+    rows = rows.select("family", "chunk", "kind", "id", "key1", "rows", "grp", "text")
+    rows = rows.repartition("family", "chunk").sortWithinPartitions("family", "chunk", "kind", "grp", "id", "key1")
 
     def read(batches):
         at, index, bases, members, merges = None, _Index(), {}, [], _Merges()
-        found: list[tuple[int, int]] = []
+        found: list[tuple[int, int | None, int | None, int | None]] = []
 
-        def probe(own, grp):
-            found.extend((grp, int(g)) for g in index.linked_groups(own, percent) if merges.join(grp, int(g)))
+        def probe(own, one, key, grp, itself):
+            near, linked = index.linked(own, percent)
+            found.extend((grp, int(g), None, None) for g in near if merges.join(grp, int(g)))
+            if linked > itself:
+                found.append((one, None, key, linked - itself))
 
         def close():
             """All members are in: from now on sets are compared."""
             index.close()
-            for own, grp in members:
-                probe(own, grp)
+            for member in members:
+                probe(*member)
             members.clear()
 
         for batch in batches:
-            where = [batch.column(i).to_pylist() for i in range(5)]
-            for f, c, kind, one, grp, own in zip(*where, shingle_sets(batch.column(5), width)):
+            where = [batch.column(i).to_pylist() for i in range(7)]
+            for f, c, kind, one, key, count, grp, own in zip(*where, shingle_sets(batch.column(7), width)):
                 if (f, c) != at:
                     if members:
                         close()
@@ -454,38 +487,41 @@ def _family_links(pairs: DataFrame, groups: DataFrame, texts: DataFrame, width:
                     bases[grp] = len(index.bases)
                     index.bases.append(own)
                 elif kind == 1:
-                    index.add(own, grp, bases.get(grp))
-                    members.append((own, grp))
+                    index.add(own, grp, count, bases.get(grp))
+                    members.append((own, one, key, grp, count))
                 elif index.groups:
                     if members:
                         close()
-                    probe(own, grp)
-            yield _edges(found)
+                    probe(own, one, key, grp, 0)
+            yield _found(found)
             found.clear()
         if members:
             close()
-        yield _edges(found)
+        yield _found(found)
 
-    return rows.mapInArrow(read, "id long, leader long")
+    return rows.mapInArrow(read, "id long, leader long, key1 long, linked long")
 
 
-def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], ["id", "leader"])
+def _found(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], ["id", "leader", "key1", "linked"]
+    )
 
 
 def similar_documents(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 75
 ) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``.
+    """One row per document: ``doc_id``, ``n_shingles``, ``n_links`` and ``component_id``.
 
     Two documents link when ``100 * |A and B| >= percent * |A or B|`` for their sets
     of distinct ``width``-word shingles; ``component_id`` is the smallest id that a
-    document reaches by links, itself included.
+    document reaches by links, itself included.  ``n_links`` is the number of other
+    rows, copies included, that the row links with.
 
     A null or wordless text has an empty set and links with nothing.  A text of
     fewer than ``width`` words has one shingle.  A null id keeps its size, gets a null
-    component and links with nothing.  Rows that repeat an id are one node and each
-    get a row.  An empty table gives an empty result; other columns are ignored.
+    component and links with nothing.  Rows that repeat an id are one node; each gets
+    a row with the links of its own text.  An empty table gives an empty result; other columns are ignored.
     """
     if not 0 < percent <= 100:
         raise ValueError("percent must be above 0 and at most 100")
@@ -494,11 +530,11 @@ def similar_documents(
     usable = keys.filter("id is not null and n > 0")
     # Equal sets are one set, held by its smallest id; minimum and bits belong to the set.
     reps = usable.groupBy("n", "key1", "key2").agg(
-        F.min("id").alias("rep"), F.first("least").alias("least"), F.first("bits").alias("bits")
+        F.min("id").alias("rep"), F.count("*").alias("rows"), F.first("least").alias("least"), F.first("bits").alias("bits")
     )
     copies = usable.join(reps.select("n", "key1", "key2", "rep"), ["n", "key1", "key2"])
     copies = copies.filter("id != rep").select("id", F.col("rep").alias("leader"))
-    reps = reps.select(F.col("rep").alias("id"), "n", "least", "bits")
+    reps = reps.withColumnRenamed("rep", "id")
 
     classes = spark.sparkContext.broadcast(shingle_classes(docs, text, width))
     posted = _postings(docs, doc_id, text, width, percent, classes)
@@ -509,18 +545,15 @@ def similar_documents(
         "token", F.col("id").alias("grp"), F.lit(1).alias("members"), F.col("n").alias("lo"), F.col("n").alias("hi"), "rest"
     )
     active = stored(_partnered(alone, percent), "active")
-    bare = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    texts = stored(bare.join(active, "id", "left_semi"), "active-texts")
-
-    live = reps.join(active, "id", "left_semi")
-    follow = stored(_followers(texts, live.select("id", "least"), width, percent), "followers")
-    # An id that repeats with other words has several sets; its bits then decide nothing.
-    bits = live.groupBy("id").agg(F.first("n").alias("n"), F.when(F.count("*") == 1, F.first("bits")).alias("bits"))
-    grouped = bits.select("id").join(follow.groupBy("id").agg(F.min("leader").alias("leader")), "id", "left")
-    grouped = grouped.select("id", F.coalesce("leader", "id").alias("grp"))
-    sizes = grouped.groupBy("grp").agg(F.count("*").alias("members"))
-    lengths = live.groupBy("id").agg(F.max("n").alias("n"))
-    groups = stored(grouped.join(sizes, "grp").join(lengths, "id").select("id", "grp", "members", "n"), "groups")
+    live = stored(reps.join(active, "id", "left_semi"), "live")
+    texts = _set_texts(docs, live, doc_id, text, width)
+    follow = stored(_followers(texts, live.select("id", "key1", "least"), width, percent), "followers")
+    # An id that repeats with other words has several sets; bits of its group then decide nothing.
+    nodes = live.groupBy("id").agg(F.max("n").alias("n"), F.count("*").alias("sets"), F.first("bits").alias("bits"))
+    grouped = nodes.join(follow.groupBy("id").agg(F.min("leader").alias("leader")), "id", "left")
+    grouped = grouped.select("id", "n", "sets", F.coalesce("leader", "id").alias("grp"))
+    sizes = grouped.groupBy("grp").agg(F.sum("sets").alias("members"), (F.max("sets") > 1).alias("several"))
+    groups = stored(grouped.join(sizes, "grp").select("id", "grp", "members", "n", "several"), "groups")
 
     cells = (
         lists.join(groups.select("id", "grp", "members"), "id")
@@ -529,18 +562,27 @@ def similar_documents(
     )
     pairs = stored(_group_pairs(cells, percent), "pairs")
     radius = follow.groupBy(F.col("leader").alias("grp")).agg(F.max("apart").alias("far"))
-    about = groups.groupBy("grp").agg(F.max("n").alias("most")).join(radius, "grp", "left")
-    about = about.join(bits.select(F.col("id").alias("grp"), "bits"), "grp", "left")
-    about = about.select("grp", "bits", "most", F.coalesce("far", F.lit(0)).alias("far"))
+    about = groups.groupBy("grp").agg(F.max("n").alias("most"), F.max("several").alias("several"))
+    about = about.join(radius, "grp", "left").join(nodes.select(F.col("id").alias("grp"), "bits", "sets"), "grp", "left")
+    sure = F.when(~F.col("several") & (F.col("sets") == 1), F.col("bits")).alias("bits")
+    about = about.select("grp", sure, "most", F.coalesce("far", F.lit(0)).alias("far"))
     possible = (
         pairs.join(about.toDF("probe", "bits_a", "most_a", "far_a"), "probe")
         .join(about.toDF("block", "bits_b", "most_b", "far_b"), "block")
         .filter(_bits_allow(percent)("bits_a", "most_a", "far_a", "bits_b", "most_b", "far_b"))
         .select("probe", "block")
     )
-    links = _family_links(possible, groups, texts, width, percent)
-    edges = copies.union(follow.select("id", "leader")).union(links)
+    links = stored(_family_links(possible, groups, live, texts, width, percent), "links")
+    edges = copies.union(follow.select("id", "leader")).union(links.filter("leader is not null").select("id", "leader"))
     found = components(edges, "id", "leader").withColumnRenamed("node", "id")
-    return keys.join(found, "id", "left").select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
+    linked = links.filter("linked is not null").groupBy("id", "key1").agg(F.sum("linked").alias("linked"))
+    counts = reps.join(linked, ["id", "key1"], "left").select(
+        "n", "key1", "key2", (F.col("rows") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
+    )
+    rows = keys.join(found, "id", "left").join(counts.filter("n_links > 0"), ["n", "key1", "key2"], "left")
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),
+        F.coalesce("component", "id").alias("component_id"),
     )

@@ -83,3 +83,39 @@ def test_components_of_random_links(spark):
     rows = [*links, (None, 3), (5, 5)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(rows, "a long, b long"), "a", "b").collect()}
     assert got == {x: root(x) for a, b in links if a != b for x in (a, b)}
+
+
+def brute_links(rows, percent=75):
+    sets = [(i, shingles(t)) for i, t in rows]
+    out = []
+    for k, (i, a) in enumerate(sets):
+        near = [j for m, (j, b) in enumerate(sets) if m != k and b and 100 * len(a & b) >= percent * len(a | b)]
+        out.append((i, len(a), len([j for j in near if j is not None]) if a and i is not None else 0))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 400])
+def test_every_link_of_a_row_is_counted(spark, monkeypatch, chunk):
+    monkeypatch.setattr(ngram_join, "CHUNK_SHINGLES", chunk)
+    texts = near_copies(11, groups=6, size=10) + near_copies(12, groups=1, size=40) + ["copies of one short text here"] * 20
+    rows = [(2 * i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (-1, None), (-2, " ")]
+    # Ids that repeat: with the same text, with a near one and with another one.
+    rows += [(0, texts[0]), (2, texts[0] + " more"), (4, texts[-30]), (6, texts[5]), (6, texts[5])]
+    got = ngram_join.similar_documents(documents(spark, rows)).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["n_links"]) for r in got), key=str) == brute_links(rows)
+    ids = {i for i, _ in rows if i is not None}
+    expected = brute_components_by_id(rows)
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None} == {i: expected[i] for i in ids}
+
+
+def brute_components_by_id(rows):
+    """Rows of one id are one node."""
+    sets = [(i, shingles(t)) for i, t in rows if i is not None]
+    links = [(i, j) for k, (i, a) in enumerate(sets) for j, b in sets[:k] if a and b and 4 * len(a & b) >= 3 * len(a | b)]
+    least = {i: i for i, _ in sets}
+    while True:
+        before = dict(least)
+        for i, j in links:
+            least[i] = least[j] = min(least[i], least[j])
+        if least == before:
+            return least
