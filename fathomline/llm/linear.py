@@ -58,17 +58,20 @@ def fit_logistic(
     pairs: Rows | None = None,
     pair_weight: float = 0.0,
     steps: int = 400,
+    row_weights: np.ndarray | None = None,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise logistic loss (soft labels allowed) plus penalties.
 
     ``pairs`` are differences of two feature rows whose scores should agree; the
-    square of each score difference costs ``pair_weight``.  Accelerated proximal
+    square of each score difference costs ``pair_weight``.  ``row_weights``: what each
+    row counts in the loss, one by default.  Accelerated proximal
     gradient with a diagonal bound of the curvature, so no step size is chosen.
     """
     if not rows.count:
         return np.zeros(columns), 0.0
     paired = pairs is not None and pairs.count and pair_weight > 0
-    reach = Rows(rows.start, rows.column, np.abs(rows.value)).times(np.ones(columns)) + 1.0
+    counts = np.ones(rows.count) if row_weights is None else row_weights
+    reach = counts * (Rows(rows.start, rows.column, np.abs(rows.value)).times(np.ones(columns)) + 1.0)
     curve = 0.25 * Rows(rows.start, rows.column, np.abs(rows.value)).back(reach, columns)
     if paired:
         size = Rows(pairs.start, pairs.column, np.abs(pairs.value))
@@ -79,6 +82,7 @@ def fit_logistic(
     speed = 1.0
     for _ in range(steps):
         wrong = 1.0 / (1.0 + np.exp(-np.clip(rows.times(ahead) + bias_ahead, -35, 35))) - labels
+        wrong *= counts
         slope = rows.back(wrong, columns) + l2 * ahead
         if paired:
             slope += 2 * pair_weight * pairs.back(pairs.times(ahead), columns)
