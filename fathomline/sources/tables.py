@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,16 +120,20 @@ def merge_into(
     partition: str,
     schema: T.StructType,
     update: bool = True,
+    merge: Callable[[DataFrame, DataFrame, list[str], str], DataFrame] | None = None,
 ) -> None:
     """Merge a batch into a partitioned table, rewriting only the partitions it touches.
 
+    ``merge`` is the rule for rows of one key; by default they are replaced
+    (``update``) or kept.
+
     ``partition`` is a column that follows from the key, such as the month of its
     date.  The merged partitions are first written to a new folder, which is noted next
     to the table, and then swapped in with a dynamic partition overwrite.  A run that
     finds such a note finishes that swap first, so a failed run can be repeated.
     """
     spark = source.sparkSession
-    merge = merge_upsert if update else merge_insert
+    merge = merge or (merge_upsert if update else merge_insert)
     columns = _stored_order(schema, partition)
     pending = f"{path.rstrip('/')}_pending"
     unfinished = spark.read.text(pending).first() if exists(spark, pending) else None

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fathomline.operators.dates import zoned
-from fathomline.operators.merge import one_per_key
+from fathomline.operators.merge import conform, one_per_key
 from fathomline.schemas import RUN_LOG
 from fathomline.sources.tables import exists, merge_into
 
@@ -111,6 +111,22 @@ def bucket_counts(df: DataFrame, ts: str, by: str, every: str, value: str | None
     return grouped.select(F.to_date(start).alias(every), *[c for c in grouped.columns if c != "_w"])
 
 
+def _add_counts(stored: DataFrame, batch: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Stored counts plus those of a batch; a bucket that has the batch already stays as it is."""
+    old, new = F.max(F.when(~F.col("_new"), F.col(order))), F.max(F.when(F.col("_new"), F.col(order)))
+    known = F.coalesce(old >= new, F.lit(False))
+    both = stored.withColumn("_new", F.lit(False)).unionByName(conform(batch, stored).withColumn("_new", F.lit(True)))
+    sums = {
+        c: F.when(known, F.sum(F.when(~F.col("_new"), F.col(c)))).otherwise(F.sum(c))
+        for c in stored.columns
+        if c not in [*keys, order, "month"]
+    }
+    other = F.raise_error(F.lit("the table has counts of another checkpoint")).cast("bigint")
+    last = F.when(old > new, other).otherwise(F.greatest(old, new))
+    made = both.groupBy(*keys, "month").agg(last.alias(order), *[c.alias(name) for name, c in sums.items()])
+    return conform(made, stored)
+
+
 def stream_counts(
     stream: DataFrame,
     ts: str,
@@ -121,29 +137,21 @@ def stream_counts(
     checkpoint: str,
     value: str | None = None,
 ) -> StreamingQuery:
-    """Keep a table of calendar counts up to date; events later than ``lateness`` are dropped.
+    """Keep a table of calendar counts up to date, whatever the age of an event.
 
-    A batch emits only the buckets it changed and upserts them by (bucket, ``by``).
+    Each batch is counted by itself and added into the stored buckets, which carry the
+    number of the last batch that changed them, so a replayed batch is not added twice.
+    The table belongs to one checkpoint.  No state is kept, so ``lateness`` drops
+    nothing; it stays in the signature for its callers.
     """
-    timed = zoned(stream, ts, ts).withWatermark(ts, lateness)
-    counts = bucket_counts(timed, ts, by, every, value)
     month = F.date_format(every, "yyyy-MM")
-    shaped = counts.select("*", month.alias("month"), F.lit(0).cast("bigint").alias("batch"))
-    schema = shaped.schema
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.withColumn("batch", F.lit(batch_id).cast("bigint"))
-        merge_into(stamped, table_path, [every, by], "batch", "month", schema)
+        counts = bucket_counts(zoned(batch, ts, ts), ts, by, every, value)
+        stamped = counts.select("*", month.alias("month"), F.lit(batch_id).cast("bigint").alias("batch"))
+        merge_into(stamped, table_path, [every, by], "batch", "month", stamped.schema, merge=_add_counts)
 
-    query = (
-        shaped.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(each)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    return run_available(stream, checkpoint, each)
 
 
 def log_run(spark: SparkSession, path: str, name: str, job: Callable[[], None]) -> None:

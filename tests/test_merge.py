@@ -224,6 +224,35 @@ def test_stream_counts_equal_batch(spark, sf, tmp_path):
             assert {r.week.weekday() for r in stored.collect()} == {0}
 
 
+def test_stream_counts_keep_late_events_and_survive_a_replay(spark, tmp_path):
+    inbox, path, state = (str(tmp_path / name) for name in ("in", "table", "state"))
+
+    def deliver(*rows):
+        frame = spark.createDataFrame(rows, "ts timestamp_ntz, k string, v long")
+        frame.coalesce(1).write.mode("append").parquet(inbox)
+
+    def run():
+        stream = spark.readStream.schema("ts timestamp_ntz, k string, v long").parquet(inbox)
+        incremental.stream_counts(stream, "ts", "k", "day", "1 day", path, state, value="v")
+        return sorted(map(tuple, spark.read.parquet(path).select("day", "k", "n", "total").collect()), key=str)
+
+    old, new = dt.datetime(2024, 1, 5, 7), dt.datetime(2024, 3, 1, 9)
+    deliver((old, "a", 1), (new, "a", 2), (new, None, 3))
+    run()
+    deliver((old, "a", 10), (old, "b", 20), (new, None, 30))
+    expected = [
+        (old.date(), "a", 2, 11),
+        (old.date(), "b", 1, 20),
+        (new.date(), "a", 1, 2),
+        (new.date(), None, 2, 33),
+    ]
+    assert run() == expected
+    # Without its commit the last batch is given again.
+    for name in ("1", ".1.crc"):
+        (tmp_path / "state" / "commits" / name).unlink()
+    assert run() == expected
+
+
 def test_buckets_do_not_depend_on_the_session_zone(spark):
     df = spark.createDataFrame([(dt.datetime(2026, 3, 29, 2, 30), "a"), (dt.datetime(2026, 3, 29, 0, 0), "a")], "ts timestamp_ntz, k string")
     zone = spark.conf.get("spark.sql.session.timeZone")
