@@ -21,7 +21,6 @@ FULL_GRID = {
     "minInstancesPerNode": [1, 3],
     "subsamplingRate": [0.8, 1.0],
 }
-SMALL_GRID = {"maxDepth": [3], "stepSize": [0.1, 0.3], "maxIter": [5]}
 
 
 def ordered_split(df: DataFrame, order: list, test: float = 0.2, out: str = "part") -> DataFrame:

@@ -315,7 +315,7 @@ def standardize(spark, sf):
 @query
 def regressor_scores(spark, sf):
     _, metrics = regress.fit_regressor(
-        _next_day(spark, sf), price_features.REGRESSOR_FEATURES, "target_price", regress.SMALL_GRID
+        _next_day(spark, sf), price_features.REGRESSOR_FEATURES, "target_price", regress.FULL_GRID
     )
     return metrics
 
@@ -324,7 +324,7 @@ def regressor_scores(spark, sf):
 def model_roundtrip(spark, sf):
     features = _stored(_next_day(spark, sf), "features")
     model, _ = regress.fit_regressor(
-        features, price_features.REGRESSOR_FEATURES, "target_price", {"maxDepth": [3], "maxIter": [3]}
+        features, price_features.REGRESSOR_FEATURES, "target_price", regress.FULL_GRID
     )
     path = scratch_path(spark, "models")
     regress.save_model(model, path, "v1")
@@ -334,7 +334,7 @@ def model_roundtrip(spark, sf):
 @query
 def price_run(spark, sf):
     """The whole price run: stored features, chosen trees, stored forecasts."""
-    cfg = runs.PriceRun(lookback=None, grid={"maxDepth": [3], "maxIter": [3]}, layout="keyed", score_on="latest")
+    cfg = runs.PriceRun(lookback=None, grid=regress.FULL_GRID, layout="keyed", score_on="latest")
     paths = scratch_path(spark, "features"), scratch_path(spark, "predictions")
     predictions, _ = runs.run_prices(given.prices(spark, sf), cfg, *paths)
     return predictions

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fathomline import schemas
 from fathomline.operators import evaluate, forecast, price_features, ranks, regress
+from fathomline.plans import catalog, runs
 
 DAY = dt.date(2026, 1, 1)
 
@@ -210,6 +211,21 @@ def test_full_grid_size():
     assert math.prod(len(v) for v in regress.FULL_GRID.values()) == 72
 
 
+@pytest.mark.parametrize("name", ["regressor_scores", "model_roundtrip", "price_run"])
+def test_registered_searches_are_the_full_one(spark, sf, monkeypatch, name):
+    grids = []
+
+    def fit(df, features, label, grid, **_):
+        grids.append(grid)
+        raise InterruptedError
+
+    monkeypatch.setattr(regress, "fit_regressor", fit)
+    monkeypatch.setattr(runs, "fit_regressor", fit)
+    with pytest.raises(InterruptedError):
+        catalog.QUERIES[name](spark, sf)
+    assert grids == [regress.FULL_GRID]
+
+
 def test_regressor_learns_and_reloads(spark, tmp_path):
     rng = random.Random(3)
     rows = [(f"s{i % 4}", DAY + dt.timedelta(days=i // 4), x := rng.uniform(0, 10), 3 * x + 1) for i in range(400)]
