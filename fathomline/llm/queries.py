@@ -7,7 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from fathomline.llm import bpe, chat, fingerprints, mixing, neighbours, ngram_join, quality, sharding, token_files, toxicity
+from fathomline.llm import (
+    bpe,
+    chat,
+    fingerprints,
+    lexical,
+    mixing,
+    neighbours,
+    ngram_join,
+    periodic,
+    quality,
+    sharding,
+    token_files,
+    toxicity,
+)
 from fathomline.llm.common import stored, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -63,6 +76,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_repeated_tails(table(spark, sf_dir, "documents"))
+    return periodic.run_digests(periodic.periodic_runs(docs))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
@@ -74,6 +96,8 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
-ORACLES: dict[str, str] = {"op8_chat": chat.ORACLE, "op9_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op8_chat": chat.ORACLE, "op9_mixing": mixing.ORACLE, "op11_lexical_search": lexical.ORACLE}
