@@ -18,6 +18,7 @@ from fathomline.llm import (
     periodic,
     quality,
     sharding,
+    substrings,
     token_files,
     toxicity,
 )
@@ -85,6 +86,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_digests(periodic.periodic_runs(docs))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.removal_digests(substrings.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
@@ -98,6 +103,12 @@ QUERIES = {
     "op10_quality": op10_quality,
     "op11_lexical_search": op11_lexical_search,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
-ORACLES: dict[str, str] = {"op8_chat": chat.ORACLE, "op9_mixing": mixing.ORACLE, "op11_lexical_search": lexical.ORACLE}
+ORACLES: dict[str, str] = {
+    "op8_chat": chat.ORACLE,
+    "op9_mixing": mixing.ORACLE,
+    "op11_lexical_search": lexical.ORACLE,
+    "op13_substring_dedup": substrings.ORACLE,
+}
