@@ -1,15 +1,11 @@
-"""Supervised regression on price features with Spark ML."""
+"""Supervised regression on price features with boosted trees."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fathomline.operators.boosting import TreeModel, search
 from fathomline.operators.evaluate import holdout_metrics
 from fathomline.operators.ranks import number_rows
 
@@ -35,13 +31,16 @@ def ordered_split(df: DataFrame, order: list, test: float = 0.2, out: str = "par
 def assign_folds(df: DataFrame, order: list, k: int = 3, out: str = "fold") -> DataFrame:
     """Contiguous folds 0..k-1 in ``order``; the first ``n mod k`` folds get one row more."""
     numbered, n = number_rows(df, order, "_row", first=0)
+    return numbered.withColumn(out, _fold(F.col("_row"), n, k)).drop("_row")
+
+
+def _fold(row: Column, n: int, k: int) -> Column:
     size, extra = divmod(n, k)
     long_rows = extra * (size + 1)
-    row = F.col("_row")
     fold = F.when(row < long_rows, F.floor(row / (size + 1)))
     if size:
         fold = fold.otherwise(extra + F.floor((row - long_rows) / size))
-    return numbered.withColumn(out, fold.cast("int")).drop("_row")
+    return fold.cast("int")
 
 
 def standardize(df: DataFrame, cols: list[str], fit_on: DataFrame) -> DataFrame:
@@ -64,48 +63,30 @@ def fit_regressor(
     folds: int = 3,
     order: list | None = None,
     test: float = 0.2,
-    parallelism: int = 4,
     seed: int = 42,
-) -> tuple[PipelineModel, DataFrame]:
+) -> tuple[TreeModel, DataFrame]:
     """Boosted trees chosen by cross-validated MAE, and the hold-out metrics row.
 
-    The split and the folds are contiguous in ``order``.  Trees are trained by
-    Spark on the distributed rows; candidates are fitted ``parallelism`` at a time.
+    The split and the folds are contiguous in ``order``: the rows are sorted and numbered
+    once, and both follow from the number.  ``TreeModel.sizes`` has the rows of each part.
+    Trees compare values with cuts between them, so features need no scaling.
     """
     order = order or ["date", "symbol"]
-    wanted = df.select(*dict.fromkeys([*order, *features, label]))
-    split = ordered_split(wanted, order, test).checkpoint()
-    train = assign_folds(split.where("part = 'train'"), order, folds)
-    trees = GBTRegressor(featuresCol="scaled", labelCol=label, seed=seed)
-    steps = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=features, outputCol="assembled"),
-            StandardScaler(inputCol="assembled", outputCol="scaled", withMean=True),
-            trees,
-        ]
-    )
-    choices = ParamGridBuilder()
-    for name, values in grid.items():
-        choices = choices.addGrid(trees.getParam(name), values)
-    search = CrossValidator(
-        estimator=steps,
-        estimatorParamMaps=choices.build(),
-        evaluator=RegressionEvaluator(labelCol=label, metricName="mae"),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=seed,
-    )
-    best = search.fit(train).bestModel
-    scored = best.transform(split.where("part = 'test'"))
-    return best, holdout_metrics(scored, label, "prediction")
-
-
-def save_model(model: PipelineModel, path: str, version: str) -> str:
+    wanted = df.select(*dict.fromkeys([*order, *features, label])).dropna(subset=[*features, label])
+    numbered, n = number_rows(wanted, order, "_row", first=0)
+    held = -int(-n * test // 1)
+    train = numbered.where(F.col("_row") < n - held).withColumn("_fold", _fold(F.col("_row"), n - held, folds))
+    model = search(train, features, label, grid, folds, seed)
+    model.sizes = {"train": n - held, "test": held}
+    scored = model.transform(numbered.where(F.col("_row") >= n - held))
+    return model, holdout_metrics(scored, label, "prediction")
+
+
+def save_model(spark: SparkSession, model: TreeModel, path: str, version: str) -> str:
     target = f"{path.rstrip('/')}/{version}"
-    model.write().overwrite().save(target)
+    model.save(spark, target)
     return target
 
 
-def load_model(path: str, version: str) -> PipelineModel:
-    return PipelineModel.load(f"{path.rstrip('/')}/{version}")
+def load_model(spark: SparkSession, path: str, version: str) -> TreeModel:
+    return TreeModel.load(spark, f"{path.rstrip('/')}/{version}")

@@ -312,23 +312,62 @@ def standardize(spark, sf):
     return rounded(regress.standardize(parts, cols, parts.where("part = 'train'")))
 
 
+def _searched(features: DataFrame):
+    return regress.fit_regressor(features, price_features.REGRESSOR_FEATURES, "target_price", regress.FULL_GRID)
+
+
 @query
 def regressor_scores(spark, sf):
-    _, metrics = regress.fit_regressor(
-        _next_day(spark, sf), price_features.REGRESSOR_FEATURES, "target_price", regress.FULL_GRID
+    """The full search; what any search over these rows must report next to its errors.
+
+    The mean of the training rows is the naive guess that the chosen trees have to match on
+    the held-out rows, within a tenth.
+    """
+    features = _stored(_next_day(spark, sf), "features")
+    model, metrics = _searched(features)
+    parts = regress.ordered_split(features.select("date", "symbol", "target_price"), ["date", "symbol"])
+    guess = parts.where("part = 'train'").agg(F.avg("target_price").alias("guess")).first()["guess"]
+    off = F.col("target_price") - F.lit(guess)
+    naive = parts.where("part = 'test'").agg(F.sqrt(F.avg(off * off)).alias("naive")).first()["naive"]
+    chosen = all(model.chosen[name] in values for name, values in regress.FULL_GRID.items())
+    return metrics.select(
+        F.col("n").alias("test_rows"),
+        F.lit(model.sizes["train"]).cast("bigint").alias("train_rows"),
+        F.lit(model.tried).alias("combinations"),
+        F.lit(chosen).alias("chosen_from_grid"),
+        (F.col("rmse") <= 1.1 * F.lit(naive)).alias("no_worse_than_mean"),
+        (F.col("rmse") >= F.col("mae")).alias("errors_in_order"),
+        F.lit(len(model.trees) == model.chosen["maxIter"]).alias("all_trees"),
     )
-    return metrics
+
+
+def _outlook_checks(made: DataFrame, features: DataFrame) -> DataFrame:
+    """Keys and days of flat forecasts, with what must hold for the values of any trees."""
+    low, high = features.agg(F.min("target_price"), F.max("target_price")).first()
+    inside = F.col("predicted_close").between(2 * low - high, 2 * high - low)
+    width = F.col("confidence_interval_high") - F.col("confidence_interval_low")
+    centred = F.abs(F.col("confidence_interval_high") + F.col("confidence_interval_low") - 2 * F.col("predicted_close"))
+    return rounded(
+        made.select(
+            "symbol", "prediction_date", "model_version", width.alias("interval_width"),
+            inside.alias("in_range"), (centred < 1e-6).alias("centred"),
+        )
+    )
 
 
 @query
 def model_roundtrip(spark, sf):
+    """Forecasts of the full search's model, saved and read back, next to those of the model in memory."""
     features = _stored(_next_day(spark, sf), "features")
-    model, _ = regress.fit_regressor(
-        features, price_features.REGRESSOR_FEATURES, "target_price", regress.FULL_GRID
-    )
+    model, _ = _searched(features)
     path = scratch_path(spark, "models")
-    regress.save_model(model, path, "v1")
-    return fc.forecast_flat(features, regress.load_model(path, "v1"), version="v1", run_ts=_stamp())
+    regress.save_model(spark, model, path, "v1")
+    again = regress.load_model(spark, path, "v1")
+    made, kept = (fc.forecast_flat(features, m, version="v1", run_ts=_stamp()) for m in (again, model))
+    kept = kept.select("symbol", "prediction_date", F.col("predicted_close").alias("_kept"))
+    both = made.join(kept, ["symbol", "prediction_date"])
+    same = both.select("symbol", "prediction_date", (F.col("predicted_close") == F.col("_kept")).alias("reloaded_equal"))
+    return _outlook_checks(made, features).join(same, ["symbol", "prediction_date"])
 
 
 @query
@@ -337,7 +376,7 @@ def price_run(spark, sf):
     cfg = runs.PriceRun(lookback=None, grid=regress.FULL_GRID, layout="keyed", score_on="latest")
     paths = scratch_path(spark, "features"), scratch_path(spark, "predictions")
     predictions, _ = runs.run_prices(given.prices(spark, sf), cfg, *paths)
-    return predictions
+    return _outlook_checks(predictions, spark.read.parquet(paths[0]).dropna())
 
 
 @query

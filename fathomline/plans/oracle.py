@@ -253,6 +253,20 @@ SELECT symbol, date + CAST(h AS INTEGER) AS prediction_date, floor((ma_7) * 1000
   floor((ma_7 - 1.96::DOUBLE * volatility_7d) * 1000000 + 0.5::DOUBLE) / 1000000 AS confidence_interval_low,
   floor((ma_7 + 1.96::DOUBLE * volatility_7d) * 1000000 + 0.5::DOUBLE) / 1000000 AS confidence_interval_high, 'flat_v1' AS model_version
 FROM latest, range(1, 8) AS g(h)"""
+ORACLES["regressor_scores"] = f"""{complete}
+SELECT CAST(ceil(count(*) * 0.2::DOUBLE) AS BIGINT) AS test_rows, count(*) - CAST(ceil(count(*) * 0.2::DOUBLE) AS BIGINT) AS train_rows,
+  CAST(3 * 3 * 2 * 2 * 2 AS INTEGER) AS combinations, true AS chosen_from_grid, true AS no_worse_than_mean,
+  true AS errors_in_order, true AS all_trees
+FROM complete"""
+CHECKED = """symbol, date + CAST(h AS INTEGER) AS prediction_date,
+  floor((2 * 1.96::DOUBLE * volatility_7d) * 1000000 + 0.5::DOUBLE) / 1000000 AS interval_width, true AS in_range, true AS centred"""
+ORACLES["model_roundtrip"] = f"""{complete},
+latest AS (SELECT * FROM complete QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1)
+SELECT {CHECKED}, 'v1' AS model_version, true AS reloaded_equal FROM latest, range(1, 8) AS g(h)"""
+ORACLES["price_run"] = f"""{complete},
+latest AS (SELECT * FROM feats WHERE momentum_1d IS NOT NULL AND momentum_7d IS NOT NULL AND volatility_7d IS NOT NULL
+    AND volume_momentum IS NOT NULL QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1)
+SELECT {CHECKED}, 'trees_v1' AS model_version FROM latest, range(1, 8) AS g(h)"""
 PLACED = """placed AS (
   SELECT *, row_number() OVER (ORDER BY date, symbol) AS rn, count(*) OVER () AS n FROM bars),
 split AS (SELECT *, CASE WHEN rn <= n - ceil(n * 0.2::DOUBLE) THEN 'train' ELSE 'test' END AS part FROM placed)"""

@@ -232,8 +232,8 @@ def test_regressor_learns_and_reloads(spark, tmp_path):
     df = spark.createDataFrame(rows, "symbol string, date date, x double, y double")
     model, metrics = regress.fit_regressor(df, ["x"], "y", {"maxIter": [10]}, folds=2)
     assert metrics.first().r2 > 0.9
-    regress.save_model(model, str(tmp_path), "v1")
-    again = regress.load_model(str(tmp_path), "v1")
+    regress.save_model(spark, model, str(tmp_path), "v1")
+    again = regress.load_model(spark, str(tmp_path), "v1")
     assert again.transform(df).select("prediction").collect() == model.transform(df).select("prediction").collect()
 
 
