@@ -18,6 +18,7 @@ from fathomline.functions.providers import (
 )
 from fathomline.operators.merge import text_key, unseen
 from fathomline.operators.ranks import number_by_key, number_rows
+from fathomline.sources.files import FILE, PLACE, fetch_by_address, with_address
 
 FILING_KEY = ["cik", "form_type", "filing_date", "url"]
 RESULTS = ["ai_summary", "sentiment_score", "classification"]
@@ -47,21 +48,24 @@ def nonempty_filings(df: DataFrame, min_len: int = 100) -> DataFrame:
     return df.where(F.length("filing_text") > min_len)
 
 
+def _filing_order() -> list:
+    return [F.desc_nulls_last("filing_date"), *[c for c in FILING_KEY if c != "filing_date"]]
+
+
 def assign_ids(df: DataFrame, id_col: str = "filing_id", unique_key: bool = True) -> DataFrame:
     """Number filings from 1, newest first, ties by key.
 
-    With a unique key only the key columns are sorted and saved; ``unique_key=False``
-    numbers the whole rows and allows any number of copies.
+    With a unique key only the key columns are sorted and saved, and joined back;
+    ``unique_key=False`` sorts and saves the rows as they are and allows any number of copies.
     """
-    order = [F.desc_nulls_last("filing_date"), *[c for c in FILING_KEY if c != "filing_date"]]
     if not unique_key:
-        return number_rows(df, order, id_col)[0]
-    return number_by_key(df, order, FILING_KEY, id_col)
+        return number_rows(df, _filing_order(), id_col)[0]
+    return number_by_key(df, _filing_order(), FILING_KEY, id_col)
 
 
 def bounded_docs(df: DataFrame, limit: int, id_col: str = "filing_id") -> DataFrame:
-    """The first ``limit`` filings by id, fixed before any text step runs on them."""
-    return df.orderBy(id_col).limit(limit)
+    """The first ``limit`` filings, numbered; every task keeps its first ones, so no row is sorted in vain."""
+    return number_rows(df.orderBy(*_filing_order()).limit(limit), _filing_order(), id_col)[0]
 
 
 def enrich_filings(
@@ -71,29 +75,46 @@ def enrich_filings(
     limit: int | None = None,
     ids: bool = True,
     run_ts: Column | None = None,
+    stored_text: str | None = None,
+    originals: bool = True,
 ) -> DataFrame:
     """Filter, number, summarise, score, label and classify filings.
 
-    With the built-in providers every text step is an expression on the row: no text
-    is shuffled for it, and a report that reads two columns computes only those.
-    ``ids=False`` leaves out the numbering for reports that do not show it.
+    With the built-in providers every text step is an expression on the row, computed on
+    the scan.  ``ids=False`` leaves out the numbering, ``originals=False`` the whole text.
+
+    ``stored_text`` names the parquet column that ``filing_text`` shows, where ``df`` selects
+    and filters a parquet scan.  Then texts are in no shuffle: the short rows of results
+    carry the address of their row, are numbered, and originals are fetched by address
+    at the end; with a ``limit`` the first rows are chosen by key alone and only their
+    texts are read.  Without it texts travel with the rows that are numbered.
     """
     if limit is not None and not ids:
         raise ValueError("a limit needs the filing order, so ids cannot be left out")
-    kept = nonempty_filings(df, min_len)
-    if ids:
-        kept = assign_ids(kept)
-    if limit is not None:
-        kept = bounded_docs(kept, limit).checkpoint()
-    done = kept.withColumns((providers or TextProviders()).columns("filing_text"))
-    first = ["filing_id"] if ids else []
+    kept, steps = nonempty_filings(df, min_len), (providers or TextProviders()).columns("filing_text")
+    late = stored_text is not None and ids
+    shown = ["cik", "company_name", "form_type", "filing_date"]
+    if late:
+        rows = with_address(kept)
+        if limit is None:
+            rows = rows.withColumns(steps)
+        wanted = [*dict.fromkeys([*FILING_KEY, *shown]), *(steps if limit is None else []), FILE, PLACE]
+        rows = rows.select(*wanted)
+        done = bounded_docs(rows, limit) if limit is not None else assign_ids(rows, unique_key=False)
+        if limit is not None:
+            done = fetch_by_address(done, stored_text, "filing_text").withColumns(steps)
+        elif originals:
+            done = fetch_by_address(done, stored_text, "filing_text")
+    else:
+        if limit is not None:
+            kept = bounded_docs(kept, limit)
+        elif ids:
+            kept = assign_ids(kept)
+        done = kept.withColumns(steps)
     return done.select(
-        *first,
-        "cik",
-        "company_name",
-        "form_type",
-        "filing_date",
-        F.col("filing_text").alias("original_text"),
+        *(["filing_id"] if ids else []),
+        *shown,
+        *([F.col("filing_text").alias("original_text")] if originals else []),
         "ai_summary",
         sentiment_label(F.col("sentiment_score")).alias("sentiment"),
         "sentiment_score",

@@ -62,7 +62,7 @@ def number_by_key(df: DataFrame, order: list, key: list[str], out: str) -> DataF
     """Like :func:`number_rows` for wide rows: only ``key`` is sorted and saved.
 
     ``key`` must be unique and hold every column ``order`` reads.  The numbers are
-    joined back, so long text columns are neither sorted nor checkpointed.
+    joined back; unless Spark can broadcast them, that join moves the wide rows once.
     """
     numbers, _ = number_rows(df.select(*key), order, out)
     numbers = numbers.toDF(*[f"_key_{c}" for c in key], out)

@@ -113,13 +113,15 @@ def _texts(spark: SparkSession, sf: str) -> DataFrame:
     return given.filings(spark, sf)
 
 
-def _enriched(spark: SparkSession, sf: str, ids: bool = False) -> DataFrame:
-    return enrich.enrich_filings(_texts(spark, sf), PROVIDERS, ids=ids, run_ts=_stamp())
+def _enriched(spark: SparkSession, sf: str, ids: bool = False, originals: bool = True) -> DataFrame:
+    return enrich.enrich_filings(
+        _texts(spark, sf), PROVIDERS, ids=ids, run_ts=_stamp(), stored_text=given.FILING_TEXT, originals=originals
+    )
 
 
 def _summaries(spark: SparkSession, sf: str) -> DataFrame:
     """The enriched table without the full text, stored once so that filters do not repeat text steps."""
-    return _stored(_enriched(spark, sf, ids=True).drop("original_text"), "summaries")
+    return _stored(_enriched(spark, sf, ids=True, originals=False), "summaries")
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -525,7 +527,7 @@ def enriched_filings(spark, sf):
 
 @query
 def bounded_docs(spark, sf):
-    done = enrich.enrich_filings(_texts(spark, sf), PROVIDERS, limit=50, run_ts=_stamp())
+    done = enrich.enrich_filings(_texts(spark, sf), PROVIDERS, limit=50, run_ts=_stamp(), stored_text=given.FILING_TEXT)
     return rounded(done.select("filing_id", "cik", "sentiment_score", "classification"))
 
 
@@ -541,7 +543,7 @@ def deal_activity_cs(spark, sf):
 
 @query
 def filing_dashboard(spark, sf):
-    return rounded(reports.filing_dashboard(_enriched(spark, sf, ids=True)))
+    return rounded(reports.filing_dashboard(_enriched(spark, sf, ids=True, originals=False)))
 
 
 @query
@@ -620,7 +622,7 @@ def trained_classify(spark, sf):
 def filing_report(spark, sf):
     """Row counts of every report of a full filing run."""
     made = runs.run_filings(
-        _texts(spark, sf), runs.FilingRun(PROVIDERS, deal_terms=DEAL_TERMS), scratch_path(spark, "filings")
+        _texts(spark, sf), runs.FilingRun(PROVIDERS, deal_terms=DEAL_TERMS, stored_text=given.FILING_TEXT), scratch_path(spark, "filings")
     )
     counts = [df.agg(F.count("*").alias("num_rows")).select(F.lit(n).alias("report"), "num_rows") for n, df in made.items()]
     out = counts[0]
@@ -629,6 +631,15 @@ def filing_report(spark, sf):
     return out
 
 
+@query
+def stored_briefing(spark, sf):
+    """The one-row table that a filing run leaves, read back from its path."""
+    path = scratch_path(spark, "filings")
+    cfg = runs.FilingRun(PROVIDERS, deal_terms=DEAL_TERMS, stored_text=given.FILING_TEXT)
+    runs.run_filings(_texts(spark, sf), cfg, path)
+    return spark.read.parquet(f"{path}_briefing")
+
+
 # --- files and payloads -----------------------------------------------------
 
 

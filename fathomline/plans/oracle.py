@@ -402,6 +402,7 @@ SELECT 'Recent filings: ' || n || ' in the period, ' || deals || ' of them on de
   || chr(10) || chr(10) || 'Details:' || chr(10) || filing_list AS briefing_text,
   (SELECT max(filing_date) FROM done) AS report_date
 FROM list WHERE n > 0"""
+ORACLES["stored_briefing"] = ORACLES["executive_briefing"]
 ORACLES["unprocessed_docs"] = f"""{filings}
 SELECT cik, sha256(filing_text) AS text_hash FROM filings
 WHERE sha256(filing_text) NOT IN (SELECT sha256(filing_text) FROM filings WHERE filing_date < DATE '2024-07-01')"""

@@ -70,17 +70,21 @@ class FilingRun:
     as_of: Column | None = None
     deal_terms: tuple[str, ...] = tuple(DEAL_TERMS)
     case_sensitive: bool = False
+    stored_text: str | None = None  # see enrich_filings
 
 
 def run_filings(filings: DataFrame, cfg: FilingRun, path: str) -> dict[str, DataFrame]:
-    """Enrich once into the table at ``path`` and derive every report from the stored rows."""
-    done = replace_table(enrich_filings(filings, cfg.providers, cfg.min_len, cfg.limit), path)
+    """Enrich once into the table at ``path`` and derive every report from the stored rows.
+
+    The briefing of the run is a table of one row (or none) at ``path`` + ``_briefing``.
+    """
+    done = replace_table(enrich_filings(filings, cfg.providers, cfg.min_len, cfg.limit, stored_text=cfg.stored_text), path)
     return {
         "filing_summaries": done,
         "sentiment_trends": sentiment_trends(done),
         "classification_share": classification_share(done),
         "deal_activity": deal_activity(done, cfg.deal_terms, case_sensitive=cfg.case_sensitive),
-        "executive_briefing": briefing(done, cfg.as_of, tie="filing_id"),
+        "executive_briefing": replace_table(briefing(done, cfg.as_of, tie="filing_id"), f"{path.rstrip('/')}_briefing"),
         "filing_dashboard": filing_dashboard(done),
         "filing_summary_stats": filing_summary_stats(done),
         "sentiment_heatmap": sentiment_heatmap(done),

@@ -68,3 +68,58 @@ def staged_load(
     if fmt == "json":
         return read_json(spark, path, schema)
     return read_table(spark, path, schema) if fmt == "parquet" else spark.read.schema(schema).xml(path, rowTag="entry")
+
+
+#: Rows of a file that are fetched by one task.
+FETCH_ROWS = 1 << 16
+FILE, PLACE = "_file", "_place"
+
+
+def with_address(df: DataFrame) -> DataFrame:
+    """Add the parquet file and the row's place in it, for a frame that only selects and filters a scan."""
+    return df.select("*", F.col("_metadata.file_path").alias(FILE), F.col("_metadata.row_index").alias(PLACE))
+
+
+def fetch_by_address(rows: DataFrame, column: str, out: str) -> DataFrame:
+    """Add ``out``: the string column ``column`` of the parquet row at each address, which is dropped.
+
+    Only addresses are shuffled.  A task opens the files of its addresses and reads one row
+    group of that column at a time, so long values stay where they are until they are
+    asked for.  Row groups without a wanted row are not read.
+    """
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    kept = [c for c in rows.columns if c not in (FILE, PLACE)]
+
+    def read(batches):
+        import numpy as np
+
+        opened = held = (None, None)
+        for batch in batches:
+            files = batch.column(len(kept)).to_pylist()
+            places = batch.column(len(kept) + 1).to_numpy()
+            at = 0
+            while at < len(files):
+                if opened[0] != files[at]:
+                    store, path = fs.FileSystem.from_uri(files[at])
+                    file = pq.ParquetFile(store.open_input_file(path))
+                    sizes = [file.metadata.row_group(i).num_rows for i in range(file.num_row_groups)]
+                    opened, ends, held = (files[at], file), np.cumsum(sizes), (None, None)
+                group = int(np.searchsorted(ends, places[at], "right"))
+                if held[0] != group:
+                    held = (group, opened[1].read_row_group(group, columns=[column]).column(0).combine_chunks())
+                first = ends[group] - len(held[1])
+                end = at + 1
+                while end < len(files) and files[end] == files[at] and places[end] < ends[group]:
+                    end += 1
+                found = held[1].take(pa.array(places[at:end] - first)).cast(pa.string())
+                own = batch.slice(at, end - at)
+                yield pa.RecordBatch.from_arrays([*(own.column(i) for i in range(len(kept))), found], [*kept, out])
+                at = end
+
+    dealt = rows.select(*[F.col(f"`{c}`") for c in kept], FILE, PLACE)
+    dealt = dealt.repartition(F.col(FILE), F.floor(F.col(PLACE) / FETCH_ROWS)).sortWithinPartitions(FILE, PLACE)
+    schema = T.StructType([*[rows.schema[c] for c in kept], T.StructField(out, T.StringType())])
+    return dealt.mapInArrow(read, schema)

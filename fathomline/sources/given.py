@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FIRST_FILING_DAY = "2024-01-01"
-# A fixed ingestion stamp keeps results comparable between runs.
+#: The stored column that filings show as their text.
+FILING_TEXT = "text"
 TURN_PLACES = 1_000_000_000
+# A fixed ingestion stamp keeps results comparable between runs.
 LOADED_AT = "2024-12-31 00:00:00"
 
 
