@@ -6,6 +6,7 @@ places so that another engine can be compared.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -940,19 +941,47 @@ def stream_new_filings(spark, sf):
     return rounded(spark.read.parquet(path).select("cik", "sentiment_score", "classification"))
 
 
-def _stream_buckets(spark, sf, every: str) -> DataFrame:
-    """Events of odd hours come in a second delivery, most of them long after their day."""
+LATENESS = dt.timedelta(days=3)
+
+
+def _deliver_events(spark, sf, every: str, queries: int = 1) -> str:
+    """Events of odd hours come in a second delivery, most of them long after their day.
+
+    With two queries the second delivery goes through a checkpoint of its own.
+    """
     inbox = scratch_path(spark, "events")
     events = given.table(spark, sf, "events").select("ts", "event_type", "value")
-    path, state = scratch_path(spark, "buckets"), scratch_path(spark, "state")
+    path, states = scratch_path(spark, "buckets"), [scratch_path(spark, "state") for _ in range(queries)]
     odd = F.coalesce(F.hour("ts") % 2, F.lit(0))
     for part in (0, 1):
-        events.where(odd == part).write.mode("append").parquet(inbox)
+        box = f"{inbox}/{part % queries}"
+        events.where(odd == part).write.mode("append").parquet(box)
         incremental.stream_counts(
-            spark.readStream.schema(events.schema).parquet(inbox),
-            "ts", "event_type", every, "1 day", path, state, value="value",
+            spark.readStream.schema(events.schema).parquet(box),
+            "ts", "event_type", every, LATENESS, path, states[part % queries], value="value",
         )
-    return rounded(spark.read.parquet(path).drop("month", "batch"))
+    return path
+
+
+def _stream_buckets(spark, sf, every: str, queries: int = 1) -> DataFrame:
+    return rounded(spark.read.parquet(_deliver_events(spark, sf, every, queries)).drop("month", "batches"))
+
+
+@query
+def stream_late_rows(spark, sf):
+    """What came for days that were final, and for every day its count and whether it is final."""
+    path = _deliver_events(spark, sf, "day")
+    late = spark.read.parquet(f"{path}_corrections").groupBy("day", "event_type").agg(
+        F.sum("n").alias("late_n"), F.sum("total").alias("late_total")
+    )
+    status = incremental.bucket_status(spark, path, "day", LATENESS).select("day", "event_type", "n", "final")
+    return rounded(status.join(late, ["day", "event_type"], "left"))
+
+
+@query
+def stream_two_queries(spark, sf):
+    """Two checkpoints write one table; nothing is lost or counted twice."""
+    return _stream_buckets(spark, sf, "day", queries=2)
 
 
 @query

@@ -536,6 +536,16 @@ ORACLES["stream_rejects"] = ORACLES["payload_rejects"]
 ORACLES["stream_new_filings"] = (
     f"{light} SELECT cik, floor((sentiment_score) * 1000000 + 0.5::DOUBLE) / 1000000 AS sentiment_score, classification FROM done"
 )
-for name, every in {"stream_daily_counts": "day", "stream_weekly_counts": "week"}.items():
+ORACLES["stream_late_rows"] = f"""
+WITH firsts AS (SELECT max(ts) AS seen FROM events WHERE coalesce(hour(ts) % 2, 0) = 0),
+days AS (
+  SELECT CAST(ts AS DATE) AS day, event_type, value, hour(ts) % 2 = 1 AND
+    CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL {1 + c.LATENESS.days} DAY <= (SELECT seen FROM firsts) AS late FROM events)
+SELECT day, event_type, count(*) AS n,
+  CAST(day AS TIMESTAMP) + INTERVAL {1 + c.LATENESS.days} DAY <= (SELECT max(ts) FROM events) AS final,
+  CASE WHEN count(*) FILTER (WHERE late) > 0 THEN CAST(count(*) FILTER (WHERE late) AS BIGINT) END AS late_n,
+  floor((sum(value) FILTER (WHERE late)) * 1000000 + 0.5::DOUBLE) / 1000000 AS late_total
+FROM days GROUP BY day, event_type"""
+for name, every in {"stream_daily_counts": "day", "stream_weekly_counts": "week", "stream_two_queries": "day"}.items():
     ORACLES[name] = f"""SELECT CAST(date_trunc('{every}', ts) AS DATE) AS {every}, event_type, count(*) AS n,
   floor((sum(value)) * 1000000 + 0.5::DOUBLE) / 1000000 AS total FROM events GROUP BY ALL"""

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import zlib
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,14 @@ def run_available(stream: DataFrame, checkpoint: str, each_batch: Callable[[Data
     return query
 
 
+def query_id(batch: DataFrame) -> str:
+    """Identity of the query that runs a micro-batch; it is kept in the checkpoint, so a new one is another query."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise RuntimeError("not inside a micro-batch of a stream")
+    return found
+
+
 def stream_upsert(
     stream: DataFrame,
     table_path: str,
@@ -45,15 +55,15 @@ def stream_upsert(
     """Upsert each micro-batch into a partitioned table; replaying a batch changes nothing.
 
     ``prepare`` returns the rows, or the rows and the rejected ones.  Rejects are kept
-    below ``rejects_path``, in a folder per checkpoint and batch that a replay replaces.
+    below ``rejects_path``, in a folder per query and batch that a replay replaces; a
+    checkpoint made anew at the same path is another query.
     """
-    run = f"{zlib.crc32(checkpoint.encode()):08x}"
 
     def each(batch: DataFrame, batch_id: int) -> None:
         made = prepare(batch)
         rows, rejects = made if isinstance(made, tuple) else (made, None)
         if rejects_path and rejects is not None:
-            rejects.write.mode("overwrite").parquet(f"{rejects_path}/run={run}/batch={batch_id}")
+            rejects.write.mode("overwrite").parquet(f"{rejects_path}/run={query_id(batch)}/batch={batch_id}")
         merge_into(rows, table_path, keys, order, partition, schema)
 
     return run_available(stream, checkpoint, each)
@@ -111,20 +121,55 @@ def bucket_counts(df: DataFrame, ts: str, by: str, every: str, value: str | None
     return grouped.select(F.to_date(start).alias(every), *[c for c in grouped.columns if c != "_w"])
 
 
-def _add_counts(stored: DataFrame, batch: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Stored counts plus those of a batch; a bucket that has the batch already stays as it is."""
-    old, new = F.max(F.when(~F.col("_new"), F.col(order))), F.max(F.when(F.col("_new"), F.col(order)))
-    known = F.coalesce(old >= new, F.lit(False))
-    both = stored.withColumn("_new", F.lit(False)).unionByName(conform(batch, stored).withColumn("_new", F.lit(True)))
-    sums = {
-        c: F.when(known, F.sum(F.when(~F.col("_new"), F.col(c)))).otherwise(F.sum(c))
-        for c in stored.columns
-        if c not in [*keys, order, "month"]
-    }
-    other = F.raise_error(F.lit("the table has counts of another checkpoint")).cast("bigint")
-    last = F.when(old > new, other).otherwise(F.greatest(old, new))
-    made = both.groupBy(*keys, "month").agg(last.alias(order), *[c.alias(name) for name, c in sums.items()])
-    return conform(made, stored)
+def _add_counts(stored: DataFrame, batch: DataFrame, keys: list[str], _: str) -> DataFrame:
+    """Stored counts plus those of a batch; a bucket that has the batch of that query stays as it is."""
+    new = conform(batch, stored)
+    names = [c for c in stored.columns if c not in keys]
+    both = stored.select(*keys, F.struct(*names).alias("_old")).join(
+        new.select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(*names).alias("_new")),
+        reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "full",
+    )
+    given, came = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    run = F.map_keys("_new.batches")[0]
+    known = F.coalesce(F.col("_old.batches")[run] >= F.col("_new.batches")[run], F.lit(False))
+    made = {"month": F.coalesce("_old.month", "_new.month")}
+    made["batches"] = F.when(~came | known, F.col("_old.batches")).otherwise(
+        F.map_concat(
+            F.map_filter(F.coalesce("_old.batches", F.create_map().cast("map<string,bigint>")), lambda k, _: k != run),
+            F.col("_new.batches"),
+        )
+    )
+    for name in names:
+        if name not in made:
+            old, more = F.col(f"_old.{name}"), F.when(~known, F.col(f"_new.{name}"))
+            # A sum of nothing but nulls is null, as in one aggregation over all events.
+            made[name] = F.when(old.isNull(), more).when(more.isNull(), old).otherwise(old + more)
+    found = both.select(*[F.when(given, F.col(k)).otherwise(F.col(f"_{k}")).alias(k) for k in keys], *[v.alias(k) for k, v in made.items()])
+    return conform(found, stored)
+
+
+_DAY = 86_400_000_000
+_BATCHES = T.MapType(T.StringType(), T.LongType())
+BUCKET_DAYS = {"day": 1, "week": 7}
+
+
+def _closes(every: str, lateness: dt.timedelta) -> Column:
+    """The event time, in microseconds, from which a bucket is final."""
+    size = F.unix_date(every).cast("bigint") + BUCKET_DAYS[every]
+    return size * _DAY + lateness // dt.timedelta(microseconds=1)
+
+
+def _progress(spark: SparkSession, table_path: str) -> DataFrame | None:
+    """One row per query that writes the table: its last batch, and the latest event time before and after it."""
+    path = f"{table_path.rstrip('/')}_progress"
+    return spark.read.schema("run string, batch bigint, before bigint, after bigint").parquet(path) if exists(spark, path) else None
+
+
+def bucket_status(spark: SparkSession, table_path: str, every: str, lateness: dt.timedelta) -> DataFrame:
+    """The counts with ``final``: whether an event has come that is later than the bucket's end by ``lateness``."""
+    seen = _progress(spark, table_path)
+    latest = seen.agg(F.max("after")).first()[0] if seen is not None else None
+    return spark.read.parquet(table_path).withColumn("final", F.coalesce(F.lit(latest) >= _closes(every, lateness), F.lit(False)))
 
 
 def stream_counts(
@@ -132,32 +177,54 @@ def stream_counts(
     ts: str,
     by: str,
     every: str,
-    lateness: str,
+    lateness: dt.timedelta,
     table_path: str,
     checkpoint: str,
     value: str | None = None,
 ) -> StreamingQuery:
     """Keep a table of calendar counts up to date, whatever the age of an event.
 
-    Each batch is counted by itself and added into the stored buckets, which carry the
-    number of the last batch that changed them, so a replayed batch is not added twice.
-    The table belongs to one checkpoint.  No state is kept, so ``lateness`` drops
-    nothing; it stays in the signature for its callers.
+    Each batch is counted by itself and added into the stored buckets.  A bucket carries,
+    per query, the number of the last batch that changed it, so a replayed batch is not
+    added twice and any number of queries may write one table, one at a time.
+
+    A bucket is final once an event is later than its end by ``lateness`` or more
+    (``bucket_status``).  Events that come for a bucket that was final before their batch
+    are counted too, and their counts are also kept as corrections at ``table_path`` +
+    ``_corrections``, in a folder per query and batch that a replay replaces.  Events
+    without a time are in no bucket.
     """
     month = F.date_format(every, "yyyy-MM")
+    base = table_path.rstrip("/")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        counts = bucket_counts(zoned(batch, ts, ts), ts, by, every, value)
-        stamped = counts.select("*", month.alias("month"), F.lit(batch_id).cast("bigint").alias("batch"))
-        merge_into(stamped, table_path, [every, by], "batch", "month", stamped.schema, merge=_add_counts)
+        spark, run = batch.sparkSession, query_id(batch)
+        events = zoned(batch, ts, ts)
+        seen = _progress(spark, table_path)
+        rows = seen.collect() if seen is not None else []  # one per query
+        own = next((r for r in rows if r["run"] == run), None)
+        if own and own["batch"] >= batch_id:
+            before = own["before"]
+        else:
+            before = max((r["after"] for r in rows if r["after"] is not None), default=None)
+        newest = events.agg(F.max(F.unix_micros(ts))).first()[0]
+        after = max((x for x in (before, newest) if x is not None), default=None)
+        note = spark.createDataFrame([(batch_id, before, after)], "batch bigint, before bigint, after bigint")
+        note.coalesce(1).write.mode("overwrite").parquet(f"{base}_progress/run={run}")
+
+        counts = bucket_counts(events, ts, by, every, value)
+        late = counts.where(_closes(every, lateness) <= F.lit(before).cast("bigint"))
+        late.write.mode("overwrite").parquet(f"{base}_corrections/run={run}/batch={batch_id}")
+        stamp = F.create_map(F.lit(run), F.lit(batch_id).cast("bigint"))
+        stamped = counts.select("*", month.alias("month"), stamp.alias("batches"))
+        schema = T.StructType([f if f.name != "batches" else T.StructField("batches", _BATCHES) for f in stamped.schema])
+        merge_into(stamped, table_path, [every, by], "batches", "month", schema, merge=_add_counts)
 
     return run_available(stream, checkpoint, each)
 
 
 def log_run(spark: SparkSession, path: str, name: str, job: Callable[[], None]) -> None:
     """Run ``job`` and append one row about it to the run log, also when it fails."""
-    import datetime as dt
-
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     state, code, message = "SUCCEEDED", None, None
     try:

@@ -215,7 +215,7 @@ def test_stream_counts_equal_batch(spark, sf, tmp_path):
         path = str(tmp_path / every)
         incremental.stream_counts(
             spark.readStream.schema(events.schema).parquet(str(tmp_path / "in")),
-            "ts", "event_type", every, "1 day", path, str(tmp_path / f"state_{every}"),
+            "ts", "event_type", every, dt.timedelta(days=1), path, str(tmp_path / f"state_{every}"),
         )
         stored = spark.read.parquet(path).select(every, "event_type", "n")
         batch = incremental.bucket_counts(events, "ts", "event_type", every).select(every, "event_type", "n")
@@ -233,7 +233,7 @@ def test_stream_counts_keep_late_events_and_survive_a_replay(spark, tmp_path):
 
     def run():
         stream = spark.readStream.schema("ts timestamp_ntz, k string, v long").parquet(inbox)
-        incremental.stream_counts(stream, "ts", "k", "day", "1 day", path, state, value="v")
+        incremental.stream_counts(stream, "ts", "k", "day", dt.timedelta(days=1), path, state, value="v")
         return sorted(map(tuple, spark.read.parquet(path).select("day", "k", "n", "total").collect()), key=str)
 
     old, new = dt.datetime(2024, 1, 5, 7), dt.datetime(2024, 3, 1, 9)
@@ -253,6 +253,59 @@ def test_stream_counts_keep_late_events_and_survive_a_replay(spark, tmp_path):
     assert run() == expected
 
 
+def test_stream_counts_of_any_checkpoint_add_up(spark, tmp_path):
+    """A second checkpoint, and one made anew, lose nothing; late rows are kept as corrections."""
+    path, lateness = str(tmp_path / "table"), dt.timedelta(days=2)
+    days = [dt.datetime(2024, 5, d, 12) for d in (1, 3, 4, 9)]
+
+    def run(name, state, *rows):
+        inbox = str(tmp_path / name)
+        spark.createDataFrame(rows, "ts timestamp_ntz, k string, v long").coalesce(1).write.parquet(inbox)
+        stream = spark.readStream.schema("ts timestamp_ntz, k string, v long").parquet(inbox)
+        incremental.stream_counts(stream, "ts", "k", "day", lateness, path, str(tmp_path / state), value="v")
+
+    def found():
+        return {r["day"].day: (r["n"], r["total"]) for r in spark.read.parquet(path).collect()}
+
+    def corrections():
+        rows = spark.read.parquet(f"{path}_corrections").collect()
+        return sorted((r["day"].day, r["n"], r["total"]) for r in rows)
+
+    run("one", "first", *[(days[0], "a", 1)] * 3)
+    run("two", "second", *[(days[0], "a", 1)] * 5, (days[1], "a", None))
+    assert found() == {1: (8, 8), 3: (1, None)} and corrections() == []
+    # An event at the very bound closes the first day for the batches after it.
+    run("three", "third", (dt.datetime(2024, 5, 4), "a", 2))
+    assert [(r["day"].day, r["final"]) for r in incremental.bucket_status(spark, path, "day", lateness).orderBy("day").collect()] == [
+        (1, True), (3, False), (4, False)]
+    run("four", "fourth", (days[0], "a", 10), (days[1], "a", 4), (days[3], "a", 1))
+    assert found() == {1: (9, 18), 3: (2, 4), 4: (1, 2), 9: (1, 1)} and corrections() == [(1, 1, 10)]
+    for name in ("0", ".0.crc"):
+        (tmp_path / "fourth" / "commits" / name).unlink()
+    stream = spark.readStream.schema("ts timestamp_ntz, k string, v long").parquet(str(tmp_path / "four"))
+    incremental.stream_counts(stream, "ts", "k", "day", lateness, path, str(tmp_path / "fourth"), value="v")
+    assert found() == {1: (9, 18), 3: (2, 4), 4: (1, 2), 9: (1, 1)} and corrections() == [(1, 1, 10)]
+
+
+def test_rejects_of_a_checkpoint_made_anew_are_kept(spark, tmp_path):
+    import shutil
+
+    path, bad, state = (str(tmp_path / n) for n in ("table", "bad", "state"))
+
+    def prepare(batch):
+        rows = batch.select("id", F.lit("x").alias("v"), F.lit(1).alias("at"), F.lit(1).alias("part"))
+        return rows.where("id < 0"), batch.select(F.col("id").alias("rejected"))
+
+    schema = T.StructType().add("id", "long").add("v", "string").add("at", "integer").add("part", "integer")
+    for number in (1, 2):
+        inbox = str(tmp_path / f"in{number}")
+        spark.range(number, number + 1).write.parquet(inbox)
+        stream = spark.readStream.schema("id long").parquet(inbox)
+        incremental.stream_upsert(stream, path, ["id"], "at", "part", schema, state, prepare, bad)
+        shutil.rmtree(state)
+    assert sorted(r["rejected"] for r in spark.read.parquet(bad).collect()) == [1, 2]
+
+
 def test_buckets_do_not_depend_on_the_session_zone(spark):
     df = spark.createDataFrame([(dt.datetime(2026, 3, 29, 2, 30), "a"), (dt.datetime(2026, 3, 29, 0, 0), "a")], "ts timestamp_ntz, k string")
     zone = spark.conf.get("spark.sql.session.timeZone")
