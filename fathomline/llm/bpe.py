@@ -1,10 +1,11 @@
 """Byte-level BPE over a table of distinct words.
 
-Each scan task packs its texts into blocks of about ``BLOCK_BYTES``.  A block sends
-its sorted distinct words to the word table, in one packed row per word bucket; there
-each distinct word is encoded once, and the packed row returns with the ids of its
-words in the same positions.  The block then spells its texts from those ids.
-Decoding looks every id up in the table of pieces, whose size is the vocabulary's.
+Each scan task packs its texts into blocks of about ``BLOCK_BYTES``.  A block holds its
+distinct words in a list, and every text as places in that list, so the text itself is
+not needed again.  The lists become rows (word, block, place) that Spark shuffles by
+word: rows of one word meet, it is encoded once, and its ids go back to (block, place).
+There a text is the ids at its places.  Decoding joins ids to pieces the same way: a
+piece lies in the piece table at the place of its id; the table has the vocabulary's size.
 
 A vocabulary is a tokenizers JSON file with a byte-level pre-tokenizer, no
 normaliser and no post-processing; other files are refused.
@@ -29,8 +30,9 @@ from tokenizers import Tokenizer
 
 from fathomline.llm.common import slices
 
-#: Bytes of text in a block.
-BLOCK_BYTES = 8 << 20
+#: Bytes of text in a block, and words that are spelled at once.
+BLOCK_BYTES = 16 << 20
+SPELLED_WORDS = 1 << 18
 #: Words that a task keeps encoded; beyond that it starts afresh.
 KEPT_WORDS = 1 << 20
 
@@ -87,7 +89,7 @@ class Vocabulary:
         pieces = {i: bytes(byte_of[c] for c in t) for t, i in made["model"]["vocab"].items()}
         pieces |= {t["id"]: t["content"].encode() for t in added}
         self.size = max(pieces) + 1
-        self._pieces = [pieces.get(i, b"") for i in range(self.size)]
+        self.pieces = [pieces.get(i, b"") for i in range(self.size)]
         self._kept: dict[str, bytes] = {}
 
     def split(self, text: str) -> list[str]:
@@ -120,10 +122,6 @@ class Vocabulary:
             kept.update(zip(new, self.encode_words(new)))
         return b"".join(map(kept.__getitem__, words))
 
-    def decode(self, ids: bytes) -> str:
-        pieces = map(self._pieces.__getitem__, np.frombuffer(ids, "<u4").tolist())
-        return b"".join(pieces).decode("utf-8", errors="replace")
-
 
 _LOADED: dict[int, Vocabulary] = {}
 
@@ -136,54 +134,158 @@ def loaded(spec) -> Vocabulary:
     return _LOADED[spec.value_id]
 
 
+class Listed:
+    """Byte strings end to end, found by place."""
+
+    def __init__(self, lengths: np.ndarray, body: np.ndarray):
+        self.lengths, self.body = lengths.astype(np.int64), body
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def at(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Elements of the strings at ``places``, end to end, and how many each has."""
+        sizes = self.lengths[places]
+        before = np.cumsum(sizes) - sizes
+        return self.body[np.arange(sizes.sum()) + np.repeat(self.starts[places] - before, sizes)], sizes
+
+
 class Spec:
-    """A vocabulary file's text, read by the driver and broadcast (it does not grow with the data)."""
+    """A vocabulary file's text and its pieces, read by the driver and broadcast (they do not grow with the data)."""
 
     def __init__(self, spark: SparkSession, path: str):
         with open(path, encoding="utf-8") as file:
             text = file.read()
-        self.size = Vocabulary(text).size
+        pieces = Vocabulary(text).pieces
+        self.size = len(pieces)
         self.value_id = zlib.crc32(text.encode())
         self.text = spark.sparkContext.broadcast(text)
+        table = Listed(np.array([len(p) for p in pieces]), np.frombuffer(b"".join(pieces), np.uint8))
+        self.pieces = spark.sparkContext.broadcast(table)
+
 
+def _planes(values: np.ndarray) -> bytes:
+    """32-bit integers, compressed; equal bytes lie together."""
+    raw = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4)
+    return zstandard.compress(np.ascontiguousarray(raw.T).tobytes(), 3)
 
-def _packed(parts: list[bytes], body: bytes | None = None) -> bytes:
-    head = np.array([len(parts), *map(len, parts)], "<u4").tobytes()
-    return zstandard.compress(head + (b"".join(parts) if body is None else body), 3)
 
+def _from_planes(blob: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(raw.T).view("<u4").reshape(-1)
 
-def _parts(blob: bytes) -> tuple[list[int], bytes]:
-    raw = zstandard.decompress(blob)
-    count = int(np.frombuffer(raw, "<u4", 1)[0])
-    ends = np.cumsum(np.frombuffer(raw, "<u4", count, 4), dtype=np.int64).tolist()
-    return [0, *ends], raw[4 * (count + 1) :]
 
+class _Block:
+    """Texts as places in a list of distinct words."""
 
-def _pack(texts: list[str]) -> bytes:
-    return _packed([t.encode() for t in texts])
+    def __init__(self, number: int):
+        self.number, self.bytes = number, 0
+        self.place: dict[str, int] = {}
+        self.doc_ids: list[int | None] = []
+        self.counts: list[int] = []
+        self.places: list[np.ndarray] = []
 
+    def add(self, doc_id: int | None, words: list[str], size: int) -> None:
+        place = self.place
+        self.places.append(np.array([place.setdefault(w, len(place)) for w in words], np.uint32))
+        self.doc_ids.append(doc_id)
+        self.counts.append(len(words))
+        self.bytes += size
 
-def _unpack(blob: bytes) -> list[str]:
-    ends, body = _parts(blob)
-    return [body[a:b].decode() for a, b in zip(ends, ends[1:])]
+    def row(self) -> pa.RecordBatch:
+        # Empty texts are empty, so an empty list stands for them too.
+        places = np.concatenate(self.places) if self.places else np.zeros(0, np.uint32)
+        columns = [
+            pa.array([self.number], pa.int64()),
+            pa.array([self.doc_ids], pa.list_(pa.int64())),
+            pa.array([self.counts], pa.list_(pa.int32())),
+            pa.array([_planes(places)], pa.binary()),
+            pa.array([list(self.place)], pa.list_(pa.string())),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "counts", "places", "words"])
 
 
-def _pack_ids(ids: list[bytes]) -> bytes:
-    planes = np.frombuffer(b"".join(ids), np.uint8).reshape(-1, 4).T  # equal bytes lie together
-    return _packed(ids, planes.tobytes())
+def _blocks(docs: DataFrame, spec: Spec, doc_id: str, text: str) -> DataFrame:
+    def pack(batches):
+        vocabulary = loaded(spec)
+        # A task that is run again reads the same rows in the same order, so its
+        # blocks have the same numbers.
+        block = _Block(TaskContext.get().partitionId() << 32)
+        for batch in slices(batches):
+            for one, whole in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = whole.as_py() or ""
+                block.add(one, vocabulary.split(own), len(own))
+                if block.bytes >= BLOCK_BYTES:
+                    yield block.row()
+                    block = _Block(block.number + 1)
+        if block.doc_ids:
+            yield block.row()
 
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    schema = "block long, doc_ids array<long>, counts array<int>, places binary, words array<string>"
+    return rows.mapInArrow(pack, schema).repartition("block")
 
-def _unpack_ids(blob: bytes) -> list[bytes]:
-    ends, body = _parts(blob)
-    whole = np.frombuffer(body, np.uint8).reshape(4, -1).T.tobytes()
-    return [whole[a:b] for a, b in zip(ends, ends[1:])]
 
+def _word_ids(words: DataFrame, spec: Spec) -> DataFrame:
+    """(block, place, ids) of rows (word, block, place); each word is encoded once."""
 
-def _block(number: int, ids: list[int | None], texts: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([_packed(texts)], pa.binary())],
-        ["block", "doc_ids", "texts"],
-    )
+    def encoded(batches):
+        vocabulary = loaded(spec)
+        last, last_ids = None, b""
+        for batch in slices(batches, 1 << 14):
+            found = batch.column(0).to_pylist()
+            new = [w for before, w in zip([last, *found], found) if w != before]
+            of = dict(zip(new, vocabulary.encode_words(new)))
+            if found[0] == last:
+                of[last] = last_ids
+            last, last_ids = found[-1], of[found[-1]]
+            ids = pa.array([of[w] for w in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), ids], ["block", "place", "ids"])
+
+    met = words.repartition("word").sortWithinPartitions("word")
+    return met.mapInArrow(encoded, "block long, place int, ids binary")
+
+
+def _pieces_of(words: pa.Table) -> Listed:
+    """The ids of a block's words by place."""
+    place = words.column("place").to_numpy()
+    ids = words.column("ids").combine_chunks()
+    order = np.argsort(place)
+    body = b"".join(ids.take(pa.array(order)).to_pylist())
+    sizes = np.diff(np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]) if len(ids) else np.zeros(0)
+    return Listed(sizes[order] // 4 if len(ids) else sizes, np.frombuffer(body, "<u4"))
+
+
+def _text(raw: bytes) -> str:
+    return raw.decode("utf-8", errors="replace")
+
+
+def _spelled(docs: DataFrame, spec: Spec, doc_id: str, text: str, decoded: bool) -> DataFrame:
+    def spell(block: pa.Table, words: pa.Table) -> pa.Table:
+        ids_of, pieces = _pieces_of(words), spec.pieces.value
+        places = _from_planes(block.column("places")[0].as_py())
+        counts = block.column("counts")[0].values.to_numpy()
+        ends = np.cumsum(counts, dtype=np.int64)
+        ids, texts, row = [], [], 0
+        while row < len(counts):
+            first = ends[row] - counts[row]
+            last = max(row + 1, int(np.searchsorted(ends, first + SPELLED_WORDS, "right")))
+            flat, sizes = ids_of.at(places[first : ends[last - 1]])
+            cuts = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], ends[row:last] - first])]
+            ids += [flat[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            if decoded:
+                raw, sizes = pieces.at(flat)
+                at = np.concatenate([[0], np.cumsum(sizes)])[cuts].tolist()
+                whole = raw.tobytes()
+                texts += [_text(whole[a:b]) for a, b in zip(at, at[1:])]
+            row = last
+        made = {"doc_id": block.column("doc_ids")[0].values, "ids": pa.array(ids, pa.binary())}
+        return pa.table(made | ({"decoded": pa.array(texts, pa.string())} if decoded else {}))
+
+    blocks = _blocks(docs, spec, doc_id, text)
+    words = blocks.select(F.posexplode("words").alias("place", "word"), "block").select("word", "block", "place")
+    found = _word_ids(words, spec)
+    schema = "doc_id long, ids binary" + (", decoded string" if decoded else "")
+    packed = blocks.select("block", "doc_ids", "counts", "places")
+    return packed.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(spell, schema)
 
 
 def encode(docs: DataFrame, spec: Spec, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -193,74 +295,7 @@ def encode(docs: DataFrame, spec: Spec, doc_id: str = "doc_id", text: str = "tex
     each give a row.  A block holds whole texts, so one longer than a block is a
     block of its own.  Other columns are ignored; an empty table gives none.
     """
-    weight = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    buckets = max(1, -(-weight // BLOCK_BYTES))
-
-    def pack(batches):
-        # A task that is run again reads the same rows in the same order, so its
-        # blocks have the same numbers.
-        number = TaskContext.get().partitionId() << 32
-        ids, texts, held = [], [], 0
-        for batch in slices(batches):
-            for one, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids.append(one)
-                texts.append((whole or "").encode())
-                held += len(texts[-1])
-                if held >= BLOCK_BYTES:
-                    yield _block(number, ids, texts)
-                    number, ids, texts, held = number + 1, [], [], 0
-        if ids:
-            yield _block(number, ids, texts)
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    blocks = rows.mapInArrow(pack, "block long, doc_ids array<long>, texts binary").repartition("block")
-
-    def distinct(batches):
-        vocabulary = loaded(spec)
-        for batch in batches:
-            for block, blob in zip(batch.column(0).to_pylist(), batch.column(2)):
-                words: set[str] = set()
-                for whole in _unpack(blob.as_py()):
-                    words.update(vocabulary.split(whole))
-                dealt: dict[int, list[str]] = {}
-                for word in sorted(words):
-                    dealt.setdefault(zlib.crc32(word.encode()) % buckets, []).append(word)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(list(dealt), pa.int64()),
-                        pa.array([block] * len(dealt), pa.int64()),
-                        pa.array([_pack(w) for w in dealt.values()], pa.binary()),
-                    ],
-                    ["bucket", "block", "words"],
-                )
-
-    def encoded(batches):
-        vocabulary = loaded(spec)
-        known: dict[str, bytes] = {}
-        for batch in batches:
-            ids = []
-            for blob in batch.column(2).to_pylist():
-                words = _unpack(blob)
-                new = [w for w in words if w not in known]
-                known.update(zip(new, vocabulary.encode_words(new)))
-                ids.append(_pack_ids([known[w] for w in words]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array(ids, pa.binary())], ["block", "words", "ids"]
-            )
-
-    def spell(block: pa.Table, table: pa.Table) -> pa.Table:
-        vocabulary = loaded(spec)
-        of: dict[str, bytes] = {}
-        for words, ids in zip(table.column("words"), table.column("ids")):
-            of.update(zip(_unpack(words.as_py()), _unpack_ids(ids.as_py())))
-        texts = _unpack(block.column("texts")[0].as_py())
-        spelled = [b"".join(map(of.__getitem__, vocabulary.split(t))) for t in texts]
-        doc_ids = block.column("doc_ids")[0].values
-        return pa.table({"doc_id": doc_ids, "ids": pa.array(spelled, pa.binary())})
-
-    packed = blocks.mapInArrow(distinct, "bucket long, block long, words binary")
-    table = packed.repartition("bucket").mapInArrow(encoded, "block long, words binary, ids binary")
-    return blocks.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(spell, "doc_id long, ids binary")
+    return _spelled(docs, spec, doc_id, text, decoded=False)
 
 
 def decode(encoded: DataFrame, spec: Spec, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -268,16 +303,24 @@ def decode(encoded: DataFrame, spec: Spec, ids: str = "ids", out: str = "decoded
 
     @F.arrow_udf("string")
     def spelled(column: pa.Array) -> pa.Array:
-        vocabulary = loaded(spec)
+        pieces = spec.pieces.value
         # Row by row: a batch of ids is the largest thing a worker holds.
-        return pa.array((vocabulary.decode(x.as_buffer()) if x.is_valid else None for x in column), pa.string())
+        return pa.array(
+            (_text(pieces.at(np.frombuffer(x.as_buffer(), "<u4"))[0].tobytes()) if x.is_valid else None for x in column),
+            pa.string(),
+        )
 
     return encoded.withColumn(out, spelled(ids))
 
 
+def encode_and_decode(docs: DataFrame, spec: Spec, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(``doc_id``, ``ids``, ``decoded``): ``decode`` of ``encode`` in one pass over the blocks."""
+    return _spelled(docs, spec, doc_id, text, decoded=True)
+
+
 def digests(docs: DataFrame, spec: Spec) -> DataFrame:
     """Lengths and digests of ids and decoded text per row."""
-    return decode(encode(docs, spec), spec).select(
+    return encode_and_decode(docs, spec).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
