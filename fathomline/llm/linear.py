@@ -117,9 +117,13 @@ def logistic(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -35, 35)))
 
 
-def sampled(df: DataFrame, key: str, bound: int, seed: int = 0) -> DataFrame:
-    """A seeded sample of about ``bound`` rows, all of them if there are fewer."""
-    total = df.count()
-    if total <= bound:
-        return df
-    return df.filter(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 20)) < int((1 << 20) * bound / total))
+def sampled_texts(rows: DataFrame, bound: int, seed: int = 0) -> DataFrame:
+    """(text, copies): a seeded sample of about ``bound`` distinct texts, all of them if there are fewer.
+
+    The draw is over texts, not rows, so a text that many rows hold takes one place, with
+    its number of rows as weight; copies are counted before they are shuffled.
+    """
+    distinct = rows.agg(F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n")).first()["n"]
+    if distinct > bound:
+        rows = rows.filter(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 20)) < int((1 << 20) * bound / distinct))
+    return rows.groupBy("text").agg(F.count("*").alias("copies"))

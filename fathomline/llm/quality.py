@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.linear import fit_in_task, fit_logistic, list_rows, logistic, sampled
+from fathomline.llm.common import slices
+from fathomline.llm.linear import fit_in_task, fit_logistic, list_rows, logistic, sampled_texts
 from fathomline.llm.words import batch_bytes, mix, spans, word_hashes
 
 #: Hash buckets of the scorer: its size whatever the corpus.
@@ -199,11 +200,11 @@ class QualityModel:
 
 
 def train(docs: DataFrame, text: str = "text", max_training: int = MAX_TRAINING, seed: int = 0) -> QualityModel:
-    """Estimate the labellers on all documents and fit the scorer on at most about ``max_training``."""
+    """Estimate the labellers on all documents and fit the scorer on at most about ``max_training`` texts."""
     rows = docs.select(F.col(text).alias("text")).filter("text is not null")
 
     def patterns(batches):
-        for batch in batches:
+        for batch in slices(batches):
             for found, words, _ in batch_statistics(batch.column(0)):
                 codes, n = np.unique(votes(found, words)[words > 0] @ _PLACES, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.array(n, pa.int64())], ["code", "n"])
@@ -217,7 +218,8 @@ def train(docs: DataFrame, text: str = "text", max_training: int = MAX_TRAINING,
     weak = dict(zip(codes.tolist(), estimated["posterior"].tolist()))
 
     def read(batches):
-        for batch in batches:
+        for batch in slices(batches):
+            copies, row = batch.column(1), 0
             for found, words, shapes in batch_statistics(batch.column(0)):
                 columns, values = _feature_lists(found, words, shapes)
                 label = [weak.get(c, 0.5) for c in (votes(found, words) @ _PLACES).tolist()]
@@ -226,16 +228,19 @@ def train(docs: DataFrame, text: str = "text", max_training: int = MAX_TRAINING,
                         pa.array(label, pa.float64()),
                         pa.array(columns, pa.list_(pa.int32())),
                         pa.array(values, pa.list_(pa.float64())),
+                        copies.slice(row, len(label)),
                     ],
-                    ["label", "columns", "values"],
+                    ["label", "columns", "values", "copies"],
                 )
+                row += len(label)
 
     def fit(found: pa.Table):
         made = list_rows(found.column("columns"), found.column("values"))
-        return fit_logistic(made, found.column("label").to_numpy(), BUCKETS, l2=1.0)
+        weights = found.column("copies").to_numpy().astype(np.float64)
+        return fit_logistic(made, found.column("label").to_numpy(), BUCKETS, l2=1.0, row_weights=weights)
 
-    training = sampled(rows, "text", max_training, seed).mapInArrow(
-        read, "label double, columns array<int>, values array<double>"
+    training = sampled_texts(rows, max_training, seed).mapInArrow(
+        read, "label double, columns array<int>, values array<double>, copies long"
     )
     return QualityModel(*fit_in_task(training, fit, BUCKETS), weak, estimated)
 

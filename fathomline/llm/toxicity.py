@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import fold_of
+from fathomline.llm.common import fold_of, slices
 from fathomline.llm.linear import Rows, fit_in_task, fit_logistic, list_rows, logistic
 from fathomline.llm.words import chunks, mix, spans, text_bytes, word_hashes
 
@@ -108,7 +108,7 @@ def _training(labelled: DataFrame, terms) -> DataFrame:
     """(label, buckets) of texts, and (null, added buckets, removed buckets) of sentence pairs."""
 
     def read(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts, labels = batch.column(0), batch.column(1).to_pylist()
             own = feature_lists(texts)
             pairs = [p for t in texts.to_pylist() if t for p in counterfactual_sentences(t, terms)]

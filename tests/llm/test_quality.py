@@ -54,3 +54,14 @@ def test_same_model_in_every_run(spark):
     docs = documents(spark, [(i, f"plain sentence number {i} with words. " * 5) for i in range(50)] + [(99, "LOUD!! " * 60)])
     a, b = Q.train(docs), Q.train(docs.repartition(7))
     assert np.allclose(a.weights, b.weights, atol=1e-6) and a.weak == b.weak
+
+
+def test_draw_is_over_texts_not_rows(spark):
+    """A text in half of the rows takes one place, whatever the seed, and keeps its weight."""
+    from fathomline.llm.linear import sampled_texts
+
+    rows = spark.createDataFrame([(f"text number {i}" if i % 2 else "the same",) for i in range(4000)], "text string")
+    for seed in (0, 97):
+        drawn = {r["text"]: r["copies"] for r in sampled_texts(rows, 200, seed).collect()}
+        assert 100 < len(drawn) < 300 and all(n == (2000 if t == "the same" else 1) for t, n in drawn.items())
+    assert sampled_texts(rows, 5000).count() == 2001
