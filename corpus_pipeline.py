@@ -27,17 +27,24 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each near-duplicate group.
+    """One document of each near-duplicate group: that of the smallest id, rows without an id last.
 
-    Of rows that repeat an id one stays.  Documents without an id are in no group and
-    stay, as do those without words.
+    The join works on a key per (id, text), so rows that share an id but not a text are
+    compared by their texts, and rows without an id are too.  Of rows equal in both one
+    stays.  Documents without words are in no group and stay.
     """
-    found = ngram_join.similar_documents(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_key"))
-    with_id = rows.filter("_key is not null").join(found, F.col("_key") == F.col("_id"), "left_semi")
+    key = F.xxhash64("doc_id", "text")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_key"))
+    found = ngram_join.similar_documents(docs.select(key.alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("_key"), "component_id"
+    )
+    ids = docs.select(key.alias("_key"), "doc_id").distinct()
+    rank = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), F.col("_key"))
+    groups = found.distinct().join(ids, "_key")
+    first = groups.groupBy("component_id").agg(F.min_by("_key", rank).alias("_key"))
     one = Window.partitionBy("_key").orderBy(F.xxhash64("_row"))
-    kept = with_id.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select("_row")
-    return kept.union(rows.filter("_key is null").select("_row")).select("_row.*")
+    kept = rows.join(first.select("_key"), "_key", "left_semi").withColumn("_n", F.row_number().over(one))
+    return kept.filter("_n = 1").select("_row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
