@@ -1,11 +1,12 @@
 """Byte-level BPE over a table of distinct words.
 
 Each scan task packs its texts into blocks of about ``BLOCK_BYTES``.  A block holds its
-distinct words in a list, and every text as places in that list, so the text itself is
-not needed again.  The lists become rows (word, block, place) that Spark shuffles by
-word: rows of one word meet, it is encoded once, and its ids go back to (block, place).
-There a text is the ids at its places.  Decoding joins ids to pieces the same way: a
-piece lies in the piece table at the place of its id; the table has the vocabulary's size.
+distinct words in a list, and every text as places in that list, so a text is split once
+and not needed again.  The words of the list are dealt to buckets by hash, in sorted
+order; in its bucket a word is encoded once, for all blocks, and the ids return in the
+positions of their words.  There a text is the ids at its places.  Decoding joins ids to
+pieces the same way: a piece lies in the piece table at the place of its id; the table
+has the vocabulary's size.
 
 A vocabulary is a tokenizers JSON file with a byte-level pre-tokenizer, no
 normaliser and no post-processing; other files are refused.
@@ -18,7 +19,7 @@ import re
 import struct
 import unicodedata
 import zlib
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from fathomline.llm.common import slices
+from fathomline.llm.common import hand_back, slices
 
 #: Bytes of text in a block, and words that are spelled at once.
 BLOCK_BYTES = 16 << 20
 SPELLED_WORDS = 1 << 18
+#: Word buckets: as many as distinct words need, which grow slower than the text, and at most these.
+MAX_BUCKETS = 1024
 #: Words that a task keeps encoded; beyond that it starts afresh.
 KEPT_WORDS = 1 << 20
 
@@ -79,9 +82,7 @@ class Vocabulary:
         added = made.get("added_tokens", [])
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
             raise ValueError("added tokens that take in their surroundings are not supported")
-        self._tokenizer = Tokenizer.from_str(spec)
-        self._tokenizer.no_truncation()
-        self._tokenizer.no_padding()
+        self._spec = spec
         contents = sorted((t["content"] for t in added), key=len, reverse=True)
         self._added = re.compile("(" + "|".join(map(re.escape, contents)) + ")") if contents else None
         self._contents = set(contents)
@@ -92,6 +93,14 @@ class Vocabulary:
         self.pieces = [pieces.get(i, b"") for i in range(self.size)]
         self._kept: dict[str, bytes] = {}
 
+    @cached_property
+    def _tokenizer(self) -> Tokenizer:
+        """The library's tokenizer; tasks that only split or spell rarely need it."""
+        made = Tokenizer.from_str(self._spec)
+        made.no_truncation()
+        made.no_padding()
+        return made
+
     def split(self, text: str) -> list[str]:
         """Words in order; together they are the text."""
         if self._added is None or not self._added.search(text):
@@ -198,7 +207,7 @@ class _Block:
             pa.array([self.doc_ids], pa.list_(pa.int64())),
             pa.array([self.counts], pa.list_(pa.int32())),
             pa.array([_planes(places)], pa.binary()),
-            pa.array([list(self.place)], pa.list_(pa.string())),
+            pa.array([_packed([w.encode() for w in self.place])], pa.binary()),
         ]
         return pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "counts", "places", "words"])
 
@@ -220,38 +229,76 @@ def _blocks(docs: DataFrame, spec: Spec, doc_id: str, text: str) -> DataFrame:
             yield block.row()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    schema = "block long, doc_ids array<long>, counts array<int>, places binary, words array<string>"
+    schema = "block long, doc_ids array<long>, counts array<int>, places binary, words binary"
     return rows.mapInArrow(pack, schema).repartition("block")
 
 
-def _word_ids(words: DataFrame, spec: Spec) -> DataFrame:
-    """(block, place, ids) of rows (word, block, place); each word is encoded once."""
+def _packed(words: list[bytes]) -> bytes:
+    return zstandard.compress(np.array([len(words), *map(len, words)], "<u4").tobytes() + b"".join(words), 3)
+
+
+def _unpacked(blob: bytes) -> list[bytes]:
+    raw = zstandard.decompress(blob)
+    count = int(np.frombuffer(raw, "<u4", 1)[0])
+    ends = (4 * (count + 1) + np.cumsum(np.frombuffer(raw, "<u4", count, 4), dtype=np.int64)).tolist()
+    return [raw[a:b] for a, b in zip([4 * (count + 1), *ends], ends)]
+
+
+def _dealt(words: list[bytes], buckets: int) -> list[np.ndarray]:
+    """Places of the words of every bucket, in order of the words."""
+    bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+    order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+    order = order[np.argsort(bucket[order], kind="stable")]
+    return np.split(order, np.searchsorted(bucket[order], np.arange(1, buckets)))
+
+
+def _word_ids(blocks: DataFrame, spec: Spec, buckets: int) -> DataFrame:
+    """(block, bucket, sizes, ids): the ids of the words that a block deals to a bucket."""
+
+    def deal(batches):
+        for batch in slices(batches, 1):
+            words = _unpacked(batch.column(4)[0].as_py())
+            parts = [(b, at) for b, at in enumerate(_dealt(words, buckets)) if len(at)]
+            columns = [
+                pa.array([b for b, _ in parts], pa.int32()),
+                pa.array([batch.column(0)[0].as_py()] * len(parts), pa.int64()),
+                pa.array([_packed([words[i] for i in at.tolist()]) for _, at in parts], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "block", "words"])
 
     def encoded(batches):
         vocabulary = loaded(spec)
-        last, last_ids = None, b""
-        for batch in slices(batches, 1 << 14):
-            found = batch.column(0).to_pylist()
-            new = [w for before, w in zip([last, *found], found) if w != before]
-            of = dict(zip(new, vocabulary.encode_words(new)))
-            if found[0] == last:
-                of[last] = last_ids
-            last, last_ids = found[-1], of[found[-1]]
-            ids = pa.array([of[w] for w in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), ids], ["block", "place", "ids"])
-
-    met = words.repartition("word").sortWithinPartitions("word")
-    return met.mapInArrow(encoded, "block long, place int, ids binary")
-
-
-def _pieces_of(words: pa.Table) -> Listed:
-    """The ids of a block's words by place."""
-    place = words.column("place").to_numpy()
-    ids = words.column("ids").combine_chunks()
-    order = np.argsort(place)
-    body = b"".join(ids.take(pa.array(order)).to_pylist())
-    sizes = np.diff(np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]) if len(ids) else np.zeros(0)
-    return Listed(sizes[order] // 4 if len(ids) else sizes, np.frombuffer(body, "<u4"))
+        known: dict[bytes, bytes] = {}
+        for batch in slices(batches, 1):
+            words = _unpacked(batch.column(2)[0].as_py())
+            if len(known) > KEPT_WORDS:
+                known.clear()
+            new = [w for w in words if w not in known]
+            known.update(zip(new, vocabulary.encode_words([w.decode() for w in new])))
+            ids = [known[w] for w in words]
+            sizes = np.fromiter(map(len, ids), np.uint32, len(ids)) // 4
+            columns = [pa.array([_planes(x)], pa.binary()) for x in (sizes, np.frombuffer(b"".join(ids), "<u4"))]
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(0), *columns], ["block", "bucket", "sizes", "ids"])
+
+    met = blocks.mapInArrow(deal, "bucket int, block long, words binary").repartition("bucket")
+    return met.mapInArrow(encoded, "block long, bucket int, sizes binary, ids binary")
+
+
+def _ids_by_place(words: list[bytes], table: pa.Table, buckets: int) -> Listed:
+    """The ids of a block's words, those of a bucket in the positions in which they were dealt."""
+    at, sizes, ids = _dealt(words, buckets), [], []
+    found = table.column("bucket").to_pylist()
+    for row in range(table.num_rows):
+        sizes.append(_from_planes(table.column("sizes")[row].as_py()))
+        ids.append(_from_planes(table.column("ids")[row].as_py()))
+    if not found:
+        return Listed(np.zeros(0, np.int64), np.zeros(0, np.uint32))
+    place = np.concatenate([at[b] for b in found])
+    dealt = Listed(np.concatenate(sizes), np.concatenate(ids))
+    back = np.empty(len(place), np.int64)
+    back[place] = np.arange(len(place))
+    body, lengths = dealt.at(back)
+    return Listed(lengths, body)
 
 
 def _text(raw: bytes) -> str:
@@ -259,8 +306,12 @@ def _text(raw: bytes) -> str:
 
 
 def _spelled(docs: DataFrame, spec: Spec, doc_id: str, text: str, decoded: bool) -> DataFrame:
+    weight = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    buckets = min(MAX_BUCKETS, max(1, int(np.ceil((weight / (8 << 20)) ** 0.6))))
+
     def spell(block: pa.Table, words: pa.Table) -> pa.Table:
-        ids_of, pieces = _pieces_of(words), spec.pieces.value
+        ids_of = _ids_by_place(_unpacked(block.column("words")[0].as_py()), words, buckets)
+        pieces = spec.pieces.value
         places = _from_planes(block.column("places")[0].as_py())
         counts = block.column("counts")[0].values.to_numpy()
         ends = np.cumsum(counts, dtype=np.int64)
@@ -278,14 +329,16 @@ def _spelled(docs: DataFrame, spec: Spec, doc_id: str, text: str, decoded: bool)
                 texts += [_text(whole[a:b]) for a, b in zip(at, at[1:])]
             row = last
         made = {"doc_id": block.column("doc_ids")[0].values, "ids": pa.array(ids, pa.binary())}
-        return pa.table(made | ({"decoded": pa.array(texts, pa.string())} if decoded else {}))
+        made |= {"decoded": pa.array(texts, pa.string())} if decoded else {}
+        del ids, texts
+        hand_back()
+        return pa.table(made)
 
+    # Both sides take all columns, so that one shuffle of the blocks serves both.
     blocks = _blocks(docs, spec, doc_id, text)
-    words = blocks.select(F.posexplode("words").alias("place", "word"), "block").select("word", "block", "place")
-    found = _word_ids(words, spec)
+    found = _word_ids(blocks, spec, buckets)
     schema = "doc_id long, ids binary" + (", decoded string" if decoded else "")
-    packed = blocks.select("block", "doc_ids", "counts", "places")
-    return packed.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(spell, schema)
+    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(spell, schema)
 
 
 def encode(docs: DataFrame, spec: Spec, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import zlib
 
 import numpy as np
@@ -38,6 +40,17 @@ def slices(batches, rows: int = 512):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    hand_back()
+
+
+def hand_back() -> None:
+    """Return freed memory to the system: a Python worker outlives its task, others need the room."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not this C library
+        pass
 
 
 def signed(values: np.ndarray) -> pa.Array:

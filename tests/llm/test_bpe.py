@@ -44,6 +44,7 @@ def test_whole_table_equals_the_library(spark, sf, library):
 
 def test_awkward_texts(spark, library, monkeypatch):
     monkeypatch.setattr(bpe, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 50)
     rng = random.Random(5)
     noise = ["".join(chr(rng.choice([rng.randrange(0x20, 0x250), rng.randrange(0x300, 0xD7FF)])) for _ in range(300)) for _ in range(30)]
     rows = [*AWKWARD, *[(100 + i, t) for i, t in enumerate(ODD + noise)]]
