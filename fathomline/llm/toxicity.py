@@ -130,24 +130,40 @@ def _training(labelled: DataFrame, terms) -> DataFrame:
     return labelled.select("text", "label").mapInArrow(read, "label double, buckets array<int>, swapped array<int>")
 
 
+def _texts(part: pa.RecordBatch) -> tuple[Rows, np.ndarray]:
+    """Feature rows and labels of the texts among rows of the training table."""
+    texts = part.filter(part.column("label").is_valid())
+    return list_rows(pa.chunked_array([texts.column("buckets")])), texts.column("label").to_numpy()
+
+
+def _stacked(parts: list[Rows]) -> Rows:
+    ends = np.cumsum([0, *[p.start[-1] for p in parts]])
+    start = np.concatenate([[0], *[p.start[1:] + e for p, e in zip(parts, ends)]])
+    return Rows(start.astype(np.int64), *[np.concatenate([getattr(p, n) for p in parts]) for n in ("column", "value")])
+
+
 def _fit(pair_weight: float):
     def fit(table: pa.Table) -> tuple[np.ndarray, float]:
-        labels = table.column("label").to_numpy()
-        is_text = ~np.isnan(labels)
-        texts = table.filter(pa.array(is_text))
-        rows, y = list_rows(texts.column("buckets")), labels[is_text]
-        one = np.bincount(rows.column, np.repeat(y, np.diff(rows.start)), minlength=BUCKETS)
-        seen = np.bincount(rows.column, minlength=BUCKETS)
+        # Few rows at a time: most features fall to the cuts, so only counts are whole.
+        parts = [b for b in slices(table.to_batches(), 1024)]
+        y = np.concatenate([b.column("label").drop_null().to_numpy(zero_copy_only=False) for b in parts])
+        one, seen = np.zeros(BUCKETS), np.zeros(BUCKETS)
+        for part in parts:
+            rows, labels = _texts(part)
+            seen += np.bincount(rows.column, minlength=BUCKETS)
+            one += np.bincount(rows.column, np.repeat(labels, np.diff(rows.start)), minlength=BUCKETS)
         # Chi-square of feature against label: weights only where it is clearly not chance.
         total, ones = len(y), y.sum()
         expect = np.maximum(seen, 1) * ones / max(total, 1)
         spread = np.maximum(expect * (1 - ones / max(total, 1)) * (1 - seen / max(total, 1)), 1e-9)
         keep = (seen >= LEAST_SEEN) & ((one - expect) > 0) & ((one - expect) ** 2 / spread >= LEAST_CHI2)
+        rows = _stacked([_texts(part)[0].kept(keep) for part in parts])
+        is_text = table.column("label").is_valid().to_numpy()
         twins = table.filter(pa.array(~is_text))
         less, more = list_rows(twins.column("buckets")), list_rows(twins.column("swapped"))
         columns = int(keep.sum())
         weights, bias = fit_logistic(
-            rows.kept(keep), y, columns, l1=L1, positive=True,
+            rows, y, columns, l1=L1, positive=True,
             pairs=_difference(less.kept(keep), more.kept(keep)), pair_weight=pair_weight,
             row_weights=np.where(y == 1, TOXIC_WEIGHT, 1.0),
         )
