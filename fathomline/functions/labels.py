@@ -54,13 +54,20 @@ def capped(text: Column, chars: int | None) -> Column:
     return text if chars is None else F.substring(text, 1, chars)
 
 
+def first_of(cases: Sequence[tuple[Column, object]], default) -> Column:
+    """Value of the first case that holds; ``default`` if none does or there are no cases."""
+    if not cases:
+        return F.lit(default)
+    found = F
+    for hit, value in cases:
+        found = found.when(hit, value)
+    return found.otherwise(default)
+
+
 def known_label(reply: Column, labels: Sequence[str] = tuple(LABELS)) -> Column:
     """Map a free-form reply onto the label set; anything else is the last label."""
-    cleaned = F.lower(F.trim(F.regexp_replace(reply, r"[\s.\"'`]+", " ")))
-    label = F
-    for name in labels:
-        label = label.when(F.regexp_replace(cleaned, " ", "_") == name.lower(), name)
-    return label.otherwise(labels[-1])
+    cleaned = F.regexp_replace(F.lower(F.trim(F.regexp_replace(reply, r"[\s.\"'`]+", " "))), " ", "_")
+    return first_of([(cleaned == name.lower(), name) for name in labels], labels[-1] if labels else None)
 
 
 def portable(pattern: str) -> str:
@@ -80,10 +87,7 @@ def portable(pattern: str) -> str:
 
 def first_match(text: Column, rules: Sequence[tuple[str, str]], default: str | None) -> Column:
     """Label of the first rule whose pattern occurs in ``text``, ignoring case."""
-    label = F
-    for name, pattern in rules:
-        label = label.when(text.rlike(f"(?i){pattern}"), name)
-    return label.otherwise(F.lit(default)) if rules else F.lit(default)
+    return first_of([(text.rlike(f"(?i){pattern}"), name) for name, pattern in rules], default)
 
 
 def settings_rows(table: DataFrame, most: int) -> list:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.functions.arrays import let, run_lengths
-from fathomline.functions.labels import first_match, settings_rows
+from fathomline.functions.labels import LABELS, first_match, known_label, settings_rows
 
 Provider = Callable[[Column], Column]
 
@@ -78,6 +78,11 @@ def rule_classifier(rules: Sequence[tuple[str, str]] | None = None, default: str
     return lambda text: first_match(text, chosen, default)
 
 
+def normalised(provider: Provider, labels: Sequence[str] = tuple(LABELS)) -> Provider:
+    """``provider`` with its free-form replies mapped onto the label set."""
+    return lambda text: known_label(provider(text), labels)
+
+
 def lexicon_from(table: DataFrame) -> dict[str, float]:
     """Lexicon of a table (term, weight); larger ones go to ``sentiment_by_join``."""
     return {row["term"]: row["weight"] for row in settings_rows(table, 20_000)}
@@ -196,3 +201,33 @@ def external_text(
             yield pd.Series(list(client(batch)))
 
     return lambda text: call(text)
+
+
+CALL = "struct<reply:string,error:string,attempts:int>"
+
+
+def external_calls(open_client: Callable[[], Callable[[str], str]], attempts: int = 3) -> Provider:
+    """Provider that calls a client text by text and keeps what went wrong.
+
+    ``open_client`` runs once per task and returns a function from a text to its reply.
+    A call that raises is repeated up to ``attempts`` times; the result has the reply, or
+    the last error, and the number of calls.  One failing text fails no other.
+    """
+
+    @F.pandas_udf(CALL)
+    def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        client = open_client()
+        for batch in batches:
+            rows = []
+            for text in batch:
+                reply = error = None
+                for used in range(1, attempts + 1):
+                    try:
+                        reply, error = client(text), None
+                        break
+                    except Exception as problem:
+                        error = f"{type(problem).__name__}: {problem}"
+                rows.append((reply, error, used))
+            yield pd.DataFrame(rows, columns=["reply", "error", "attempts"])
+
+    return lambda text: call(text)

@@ -18,6 +18,7 @@ from fathomline.functions.providers import (
 )
 from fathomline.operators.merge import text_key, unseen
 from fathomline.operators.ranks import number_by_key, number_rows
+from fathomline.sources.tables import exists
 from fathomline.sources.files import FILE, PLACE, fetch_by_address, with_address
 
 FILING_KEY = ["cik", "form_type", "filing_date", "url"]
@@ -206,14 +207,39 @@ def new_results(
     column) on hashes and ids alone, so a text repeated any number of times is read by
     the providers once.  ``tasks`` spreads slow external calls.
     """
+    texts = _unseen_texts(df, cache, text, id_col, tasks)
+    return texts.select("text_hash", *[c.alias(n) for n, c in providers.columns(text).items()])
+
+
+def _unseen_texts(df: DataFrame, cache: DataFrame | None, text: str, id_col: str, tasks: int | None) -> DataFrame:
     hashed = df.withColumn("text_hash", text_key(F.col(text)))
     wanted = hashed.groupBy("text_hash").agg(F.min(id_col).alias(id_col))
     if cache is not None:
         wanted = unseen(wanted, cache, "text_hash")
     texts = hashed.join(wanted, ["text_hash", id_col], "left_semi").select("text_hash", text)
-    if tasks is not None:
-        texts = texts.repartition(tasks, "text_hash")
-    return texts.select("text_hash", *[c.alias(n) for n, c in providers.columns(text).items()])
+    return texts if tasks is None else texts.repartition(tasks, "text_hash")
+
+
+def call_and_store(
+    df: DataFrame, path: str, call: Provider, text: str = "filing_text", id_col: str = "cik", tasks: int | None = None
+) -> DataFrame:
+    """Call ``call`` (see ``external_calls``) for every text without a stored reply, and store what came.
+
+    A text is called once however many rows hold it; null texts are not called.  A run
+    that is stopped, or some of whose calls failed, is repeated by calling this again:
+    only texts without a reply are called.  Returns (text_hash, reply, error, attempts),
+    one row per text: its reply, or the error of its latest run.
+    """
+    spark = df.sparkSession
+    kept = spark.read.parquet(path) if exists(spark, path) else None
+    run = 0 if kept is None else 1 + (kept.agg(F.max("run")).first()[0] or 0)
+    done = kept.where("error is null") if kept is not None else None
+    texts = _unseen_texts(df.where(F.col(text).isNotNull()), done, text, id_col, tasks)
+    made = texts.select("text_hash", call(F.col(text)).alias("_made")).select("text_hash", "_made.*", F.lit(run).alias("run"))
+    made.write.mode("append").parquet(path)
+    rank = F.struct(F.col("error").isNull(), F.col("run"))
+    latest = F.max_by(F.struct("reply", "error", "attempts"), rank).alias("_made")
+    return spark.read.parquet(path).groupBy("text_hash").agg(latest).select("text_hash", "_made.*")
 
 
 def attach_results(df: DataFrame, cache: DataFrame, text: str = "filing_text") -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fathomline.functions.labels import capped, portable, settings_rows
+from fathomline.functions.labels import capped, first_of, portable, settings_rows
 
 # Trigger patterns by family, in order of precedence.
 CORRECTION = [
@@ -87,14 +87,19 @@ def families_from(table: DataFrame) -> list[tuple[str, str, list[str]]]:
 
 
 def trigger(text: Column, families: Families = TRIGGER_FAMILIES) -> Column:
-    """Struct (type, confidence) of the first family with a matching pattern, else null."""
-    hit = F
-    for family, confidence, patterns in families:
-        any_of = "(?i)" + "|".join(f"(?:{portable(p)})" for p in patterns)
-        hit = hit.when(
-            text.rlike(any_of), F.struct(F.lit(family).alias("type"), F.lit(confidence).alias("confidence"))
+    """Struct (type, confidence) of the first family with a matching pattern, else null.
+
+    A family without patterns never matches.
+    """
+    cases = [
+        (
+            text.rlike("(?i)" + "|".join(f"(?:{portable(p)})" for p in patterns)),
+            F.struct(F.lit(family).alias("type"), F.lit(confidence).alias("confidence")),
         )
-    return hit.otherwise(F.lit(None))
+        for family, confidence, patterns in families
+        if patterns
+    ]
+    return first_of(cases, None).cast("struct<type:string,confidence:string>")
 
 
 def carry_forward(
@@ -256,13 +261,14 @@ def review_gate(comments: DataFrame) -> DataFrame:
 def author_family(login: Column, families: Sequence[tuple[str, Sequence[str]]] = tuple(REVIEWER_FAMILIES)) -> Column:
     """Reviewer family of a login; other bots are ``unknown``, everybody else ``human``."""
     name = F.lower(F.coalesce(login, F.lit("unknown")))
-    family = F
+    cases = []
     for label, accounts in families:
         hit = F.lit(False)
         for account in accounts:
             hit = hit | name.contains(account.lower().replace("[bot]", "", 1))
-        family = family.when(hit, label)
-    return family.when(name.contains("[bot]") | name.contains("-bot"), "unknown").otherwise("human")
+        cases.append((hit, label))
+    cases.append((name.contains("[bot]") | name.contains("-bot"), "unknown"))
+    return first_of(cases, "human")
 
 
 def collect_comments(

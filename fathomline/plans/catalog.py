@@ -503,6 +503,54 @@ def rule_classify(spark, sf):
     ).select("cik", "classification")
 
 
+@query
+def classify_default(spark, sf):
+    """The default rules over filings that are marked in rotation."""
+    rows = _texts(spark, sf).withColumn("filing_text", given.marked(CLASS_MARKS, F.col("cik").cast("bigint"), "filing_text"))
+    return enrich.classify(rows, "filing_text").select("cik", "classification")
+
+
+# What a free-form classifier says, by the length of the text.
+REPLIES = ["M&A", " ipo.\n", "executive change", "'Restructuring'", "FINANCIAL RESTATEMENT", "`material_event`", "Other", "no idea", ""]
+
+
+def _free_form():
+    return lambda texts: [REPLIES[len(t) % len(REPLIES)] for t in texts]
+
+
+@query
+def classify_replies(spark, sf):
+    """Replies of an external classifier, mapped onto the label set."""
+    rows = enrich.nonempty_filings(_texts(spark, sf))
+    provider = providers.normalised(providers.external_text(_free_form))
+    return enrich.classify(rows, "filing_text", provider=provider).select("cik", "classification")
+
+
+def _flaky():
+    """A client that never answers some texts, and others only when asked the third time."""
+    asked: dict[str, int] = {}
+
+    def reply(text: str) -> str:
+        asked[text] = asked.get(text, 0) + 1
+        if len(text) % 11 == 0 or (len(text) % 5 == 0 and asked[text] < 3):
+            raise TimeoutError("busy")
+        return f"seen {len(text)}"
+
+    return reply
+
+
+@query
+def external_calls(spark, sf):
+    """Calls with a retry budget in two runs; the second asks only for what has no reply."""
+    rows, path = _texts(spark, sf), scratch_path(spark, "calls")
+    call = providers.external_calls(_flaky, attempts=3)
+    enrich.call_and_store(rows.where(F.col("filing_date") < "2024-07-01"), path, call)
+    made = enrich.call_and_store(rows, path, call)
+    runs_of = spark.read.parquet(path).groupBy("text_hash").agg(F.count("*").alias("calls_stored"))
+    hashed = rows.select("cik", merge.text_key(F.col("filing_text")).alias("text_hash"))
+    return hashed.join(made.join(runs_of, "text_hash"), "text_hash").drop("text_hash")
+
+
 @query
 def extractive_summary(spark, sf):
     return enrich.summarize(_texts(spark, sf), "filing_text").select("cik", "ai_summary")
@@ -768,6 +816,42 @@ def conversation_triggers(spark, sf):
     return _triggers(spark, sf)
 
 
+# Phrases of each default trigger family, and of each default filing class.
+TRIGGER_MARKS = [
+    "No, that's wrong. ", "I disagree with it. ", "In other words it works. ", "It turns out the same. ",
+    "We should use it. ", "Let's proceed with it. ", "Key insight: ", "Why not? ",
+]
+CLASS_MARKS = [
+    "The merger is done. ", "An initial public offering. ", "More layoffs. ", "The CEO resigned. ",
+    "Earnings were restated. ", "A material agreement. ",
+]
+ACCOUNTS = ["CodeRabbitAI[bot]", "cursor-bugbot[bot]", "greptile-bot", "github-actions[bot]", "somebody", "other[bot]", "new-bot"]
+
+
+def _marked_turns(spark, sf) -> DataFrame:
+    return given.turns(spark, sf).withColumn("text", given.marked(TRIGGER_MARKS, F.col("conv_id") + F.col("turn"), "text"))
+
+
+@query
+def triggers_default(spark, sf):
+    """The default trigger families over turns that are marked in rotation."""
+    return mining.conversation_triggers(_marked_turns(spark, sf))
+
+
+@query
+def triggers_newest(spark, sf):
+    """The 25 newest triggers, as a report shows them."""
+    found = mining.conversation_triggers(_marked_turns(spark, sf), newest_first=True)
+    return found.select("conv_id", "turn", "type", "confidence").limit(25)
+
+
+@query
+def families_default(spark, sf):
+    """The default reviewer families over comments whose accounts rotate."""
+    login = F.element_at(F.array(*map(F.lit, ACCOUNTS)), (F.pmod("id", F.lit(len(ACCOUNTS))) + 1).cast("int"))
+    return given.comments(spark, sf).select("id", mining.author_family(login).alias("family"))
+
+
 @query
 def trigger_counts(spark, sf):
     return mining.trigger_counts(_triggers(spark, sf))

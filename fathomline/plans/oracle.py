@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from fathomline.functions import labels
+from fathomline.functions import labels, providers
+from fathomline.operators import mining
 from fathomline.plans import catalog as c
 
 ORACLES: dict[str, str] = {}
@@ -330,6 +331,20 @@ SELECT cik, {half_up('coalesce(CAST(net AS DOUBLE) / n, 0)')} AS sentiment_score
 FROM filings LEFT JOIN hits USING (cik)"""
 ORACLES["sentiment_label"] = f"{parts(FILINGS, scored('filings'))} SELECT cik, {LABEL} AS sentiment FROM scored"
 ORACLES["rule_classify"] = f"{filings} SELECT cik, {CLASS} AS classification FROM filings"
+ORACLES["classify_default"] = f"""{filings} SELECT cik, CASE
+  {" ".join(f"WHEN regexp_matches(marked, {text('(?i)' + p)}) THEN {text(n)}" for n, p in providers.DEFAULT_RULES)} ELSE 'Other' END AS classification
+FROM (SELECT cik, CASE CAST(cik AS BIGINT) % {len(c.CLASS_MARKS) + 1}
+  {" ".join(f"WHEN {i} THEN {text(m)}" for i, m in enumerate(c.CLASS_MARKS))} ELSE '' END || filing_text AS marked FROM filings) m"""
+ORACLES["classify_replies"] = f"""{parts(FILINGS, KEPT)} SELECT cik, CASE length(filing_text) % 9 WHEN 0 THEN 'M&A' WHEN 1 THEN 'IPO'
+  WHEN 2 THEN 'Executive_Change' WHEN 3 THEN 'Restructuring' WHEN 4 THEN 'Financial_Restatement' WHEN 5 THEN 'Material_Event'
+  ELSE 'Other' END AS classification FROM kept"""
+ORACLES["external_calls"] = f"""{filings},
+firsts AS (SELECT filing_text, bool_or(filing_date < DATE '2024-07-01') AS early FROM filings GROUP BY filing_text)
+SELECT cik, CASE WHEN length(filing_text) % 11 <> 0 THEN 'seen ' || length(filing_text) END AS reply,
+  CASE WHEN length(filing_text) % 11 = 0 THEN 'TimeoutError: busy' END AS error,
+  CAST(CASE WHEN length(filing_text) % 11 = 0 OR length(filing_text) % 5 = 0 THEN 3 ELSE 1 END AS INTEGER) AS attempts,
+  CAST(CASE WHEN early AND length(filing_text) % 11 = 0 THEN 2 ELSE 1 END AS BIGINT) AS calls_stored
+FROM filings JOIN firsts USING (filing_text)"""
 ORACLES["extractive_summary"] = f"{parts(FILINGS, summaries('filings'))} SELECT cik, ai_summary FROM summed"
 _places = r"\b(?:" + "|".join(sorted(c.PLACES, key=lambda p: (-len(p), p))) + r")\b"
 ORACLES["filing_entities"] = (
@@ -459,6 +474,15 @@ triggers AS (
 ORACLES["conversation_triggers"] = f"{parts(TRIGGERS)} SELECT * FROM triggers"
 ORACLES["trigger_counts"] = f"""{parts(TRIGGERS)}
 SELECT type, count(*) AS triggers, count(DISTINCT conv_id) AS conversations FROM triggers GROUP BY type"""
+_pick = "CASE (conv_id + turn) % " + str(len(c.TRIGGER_MARKS) + 1) + " " + " ".join(f"WHEN {i} THEN {text(m)}" for i, m in enumerate(c.TRIGGER_MARKS)) + " ELSE '' END"
+_defaults = {f: "(?i)" + "|".join(f"(?:{p})" for p in ps) for f, _, ps in mining.TRIGGER_FAMILIES}
+MARKED = (
+    TRIGGERS.replace(" FROM conversations)", f" FROM (SELECT conv_id, turn, role, {_pick} || text AS text FROM conversations) c)")
+    .replace(_type, "CASE " + " ".join(f"WHEN regexp_matches(text, {text(p)}) THEN {text(f)}" for f, p in _defaults.items()) + " END")
+    .replace(_sure, "CASE type " + " ".join(f"WHEN {text(f)} THEN {text(s)}" for f, s, _ in mining.TRIGGER_FAMILIES) + " END")
+)
+ORACLES["triggers_default"] = f"{parts(MARKED)} SELECT * FROM triggers"
+ORACLES["triggers_newest"] = f"{parts(MARKED)} SELECT conv_id, turn, type, confidence FROM triggers ORDER BY conv_id DESC, turn DESC LIMIT 25"
 ORACLES["session_totals"] = (
     "SELECT count(DISTINCT conv_id) AS sessions_analyzed, count(*) AS messages_analyzed FROM conversations"
 )
@@ -509,6 +533,9 @@ ORACLES["union_comments"] = f"{parts(COMMENTS, COLLECTED)} SELECT * FROM collect
 ORACLES["family_counts"] = (
     f"{parts(COMMENTS, COLLECTED)} SELECT family, count(*) AS comments FROM collected GROUP BY family"
 )
+_families = ["coderabbit", "bugbot", "greptile", "copilot", "human", "unknown", "unknown"]
+ORACLES["families_default"] = f"""{parts(COMMENTS)} SELECT id, CASE id % {len(c.ACCOUNTS)}
+  {" ".join(f"WHEN {i} THEN {text(f)}" for i, f in enumerate(_families))} END AS family FROM comments"""
 ORACLES["author_family"] = f"{parts(COMMENTS)} SELECT id, {FAMILY} AS family FROM comments"
 TOTALS = """totals AS (
   SELECT model, count(*) AS requests, CAST(sum(input_tokens) AS BIGINT) AS input_tokens,

@@ -80,6 +80,12 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations")
 
 
+def marked(marks: list[str], number: Column, text: str) -> Column:
+    """``text`` after the mark whose turn it is by ``number``; nothing is put before every last one."""
+    mark = F.element_at(F.array(*[F.lit(m) for m in marks], F.lit("")), (F.pmod(number, F.lit(len(marks) + 1)) + 1).cast("int"))
+    return F.concat(mark, F.col(text))
+
+
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as review comments; an assistant turn replies to the one before."""
     # Far more places than a conversation has turns, so ids of two conversations never meet.

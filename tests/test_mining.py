@@ -159,3 +159,13 @@ def test_usage(spark):
     assert [(r.model, r.requests, r.estimated_usd) for r in priced.collect()] == [("m1", 2, 4.5)]
     assert [r.model for r in rejects.collect()] == ["odd"]
     assert [tuple(r) for r in usage.usage_by_day(df, ["f"]).collect()] == [(NOW.date(), 2, 5.0)]
+
+
+def test_no_families_rules_or_labels(spark):
+    row = spark.range(1).select(
+        mining.trigger(F.lit("no, that's wrong"), []).alias("a"),
+        mining.trigger(F.lit("anything"), [("x", "high", [])]).alias("b"),
+        mining.author_family(F.lit("new[bot]"), []).alias("c"),
+        mining.author_family(F.lit(None).cast("string"), []).alias("d"),
+    ).first()
+    assert tuple(row) == (None, None, "unknown", "human")

@@ -273,3 +273,50 @@ def test_rounding_keeps_large_values(spark):
     df = spark.createDataFrame([(1e14,), (-1.5000004,), (float("nan"),)], "x double")
     a, b, c = (r.x for r in runs.rounded(df).collect())
     assert (a, b) == (1e14, -1.5) and c != c
+
+
+def test_calls_are_stored_and_resumed(spark, tmp_path):
+    """Copies are called once, failures keep their error, and a second run asks only for what is missing."""
+    log = tmp_path / "log"
+    log.mkdir()
+
+    def client(broken):
+        def opened():
+            def reply(text):
+                (log / f"{text}-{len(list(log.iterdir()))}").touch()
+                if text in broken:
+                    raise ValueError(text)
+                return text.upper()
+
+            return reply
+
+        return opened
+
+    df = filings(spark, ["a", "b", "b", "c", None]).coalesce(1)
+    path = str(tmp_path / "calls")
+
+    def run(broken):
+        made = enrich.call_and_store(df, path, providers.external_calls(client(broken), attempts=2))
+        return sorted((r["reply"] or "", r["error"] or "", r["attempts"]) for r in made.collect())
+
+    assert run({"b"}) == [("", "ValueError: b", 2), ("A", "", 1), ("C", "", 1)]
+    assert len(list(log.iterdir())) == 4
+    assert run({"a", "c"}) == [("A", "", 1), ("B", "", 1), ("C", "", 1)]
+    assert len(list(log.iterdir())) == 5
+    assert run(set()) == [("A", "", 1), ("B", "", 1), ("C", "", 1)] and len(list(log.iterdir())) == 5
+
+
+def test_replies_are_mapped_onto_labels(spark):
+    replies = ["M&A", " ipo. ", "executive change", "'Restructuring'", "no idea", None, ""]
+    df = spark.createDataFrame([(r,) for r in replies], "t string")
+    got = [r[0] for r in df.select(providers.normalised(lambda t: t)(F.col("t"))).collect()]
+    assert got == ["M&A", "IPO", "Executive_Change", "Restructuring", "Other", "Other", "Other"]
+
+
+def test_default_marks_hit_every_family(spark, sf):
+    from fathomline.operators import mining
+    from fathomline.plans import catalog
+
+    types = {r["type"] for r in catalog.QUERIES["triggers_default"](spark, sf).collect()}
+    assert types == {f for f, _, _ in mining.TRIGGER_FAMILIES}
+    assert {r["classification"] for r in catalog.QUERIES["classify_default"](spark, sf).collect()} == set(labels.LABELS)
