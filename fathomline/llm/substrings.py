@@ -37,7 +37,7 @@ WINDOW = 20
 #: Words of a group; windows must be longer.
 GROUP = 6
 #: Words of the documents of a shard, and candidate windows of one part of a document.
-SHARD_WORDS = 1 << 19
+SHARD_WORDS = 1 << 18
 #: The bit table: ``2 ** BITS`` bits, made in ``PARTS`` parts.
 BITS = 26
 PARTS = 64
