@@ -90,12 +90,18 @@ _KNOWN = {path for layout in LAYOUTS for path in layout.paths}
 
 
 def layout_of(schema: T.StructType) -> Layout:
-    """The mapping for a table; columns that no mapping names do not count."""
+    """The mapping for a table; columns that no mapping names do not count.
+
+    Where the known paths are those of no layout, because a column is named like a
+    field of another one, the first layout of the most paths that are all there holds.
+    """
     paths = [p for p in field_paths(schema) if p in _KNOWN]
-    try:
-        return BY_FINGERPRINT[fingerprint(paths)]
-    except KeyError:
-        raise ValueError(f"no layout has exactly the fields {sorted(paths)}") from None
+    if exact := BY_FINGERPRINT.get(fingerprint(paths)):
+        return exact
+    present = [layout for layout in LAYOUTS if set(layout.paths) <= set(paths)]
+    if not present:
+        raise ValueError(f"no layout has only fields of {sorted(paths)}")
+    return max(present, key=lambda layout: len(layout.paths))
 
 
 def _role(role: Column, renamed: bool) -> Column:
@@ -128,7 +134,8 @@ def canonical_turns(df: DataFrame, conv_id: str = "conv_id") -> DataFrame:
 
     A null role or text is empty, a null list has no turns, and rows of a layout with
     one row per turn are put in order of turn, nulls first, ties by role and text.
-    A null id is a conversation of its own.  Other columns are ignored.
+    A null id is a conversation of its own.  Other columns are ignored, also those
+    named like a field of another layout.
     """
     layout = layout_of(df.drop(conv_id).schema)
     key = F.col(conv_id).cast("long").alias("conv_id")

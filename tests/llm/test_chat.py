@@ -70,6 +70,15 @@ def test_layouts_are_chosen_by_their_fields(spark):
     assert len(chat.BY_FINGERPRINT) == len(chat.LAYOUTS)
 
 
+def test_columns_named_like_other_layouts_are_extra(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "q", "x", "y", "z"), (1, 1, "assistant", "a", "x", "y", "z")], TURNS + ", system string, input string, prompt string")
+    assert turns_of(rows)[1] == [("user", "q"), ("assistant", "a")]
+    pair = spark.createDataFrame([(1, "q", "a", "x", "y")], "conv_id long, prompt string, response string, answer string, role string")
+    assert turns_of(pair)[1] == [("user", "q"), ("assistant", "a")]
+    both = spark.createDataFrame([(1, "s", "q", "a", "x")], "conv_id long, system string, prompt string, response string, input string")
+    assert turns_of(both)[1] == [("system", "s"), ("user", "q"), ("assistant", "a")]
+
+
 def test_records_each_in_its_own_layout(spark):
     texts = [
         '{"messages": [{"role": "user", "content": "q"}, {"content": "a", "role": "assistant"}]}',
