@@ -30,9 +30,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def seeded_order(doc_id: Column, seed: int) -> Column:
+def seeded_order(doc_id: Column, text: Column, seed: int) -> Column:
     """A hexadecimal key that orders documents at random, the same in every run."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
+    known = F.coalesce(doc_id.cast("string"), F.lit("null"))
+    own = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), known, F.lit(":"), own).cast("binary"))
 
 
 def sizes(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", seed: int = 0) -> DataFrame:
@@ -41,7 +43,7 @@ def sizes(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
         word_count(F.col(text)).alias("size"),
-        seeded_order(F.col(doc_id), seed).alias("place"),
+        seeded_order(F.col(doc_id), F.col(text), seed).alias("place"),
     )
 
 
@@ -138,15 +140,15 @@ def mix(
     """The rows of ``docs``, each as often as the mix takes it, with all their columns.
 
     A null text or one without words has size 0 and is repeated like the rest of its
-    source.  Null sources are one source, ranked last.  Rows that repeat an id share
-    one place in the seeded order and are taken together.  Column names of ``docs``
+    source.  Null sources are one source, ranked last.  Rows that repeat an id and
+    its text share one place in the seeded order and are taken together.  Column names of ``docs``
     may be any.  An empty table gives an empty mix.
     """
     plan = mix_plan(stored(sizes(docs, doc_id, source, text, seed), "mix-sizes"), weights, percent, epochs)
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
         F.col(source).alias("_source"),
-        seeded_order(F.col(doc_id), seed).alias("place"),
+        seeded_order(F.col(doc_id), F.col(text), seed).alias("place"),
     )
     joined = rows.join(plan.alias("plan"), F.col("_source").eqNullSafe(F.col("plan.source")))
     repeated = joined.withColumn("_n", _times()).filter("_n > 0").select("_row", F.explode(F.sequence(F.lit(1), "_n")))
@@ -155,7 +157,7 @@ def mix(
 
 ORACLE = """
 WITH d AS (
-  SELECT doc_id, source, md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS place,
+  SELECT doc_id, source, md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS place,
          CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
   FROM documents
 ), s AS (

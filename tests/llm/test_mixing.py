@@ -11,9 +11,9 @@ from tests.llm.helpers import AWKWARD, clashing, documents, words
 
 def brute(rows, weights=(5, 2, 1), percent=150, epochs=2):
     """Round by round: share the rest by weight, clamp what is above, share again."""
-    size = [(i, s, len(words(t))) for i, t, s in rows]
+    size = [(i, s, len(words(t)), hashlib.md5((t or "").encode()).hexdigest()) for i, t, s in rows]
     total: dict = Counter()
-    for _, s, n in size:
+    for _, s, n, _ in size:
         total[s] += n
     order = sorted((s for s in total if s is not None), key=lambda s: s.encode()) + [None] * (None in total)
     weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
@@ -30,7 +30,7 @@ def brute(rows, weights=(5, 2, 1), percent=150, epochs=2):
     for s in order:
         whole = int(share[s] // total[s]) if total[s] else 0
         extra, before = share[s] - whole * total[s], 0
-        key = lambda r: hashlib.md5(f"0:{'null' if r[0] is None else r[0]}".encode()).hexdigest()
+        key = lambda r: hashlib.md5(f"0:{'null' if r[0] is None else r[0]}:{r[3]}".encode()).hexdigest()
         own = sorted((r for r in size if r[1] == s), key=key)
         for k in sorted({key(r) for r in own}):
             tied = [r for r in own if key(r) == k]
@@ -68,6 +68,15 @@ def test_one_source_and_one_huge_source(spark):
     check(spark, [*some(["big"]), (1000, "x", "tiny"), (1001, "x y", "small")])
 
 
+def test_rows_without_ids_come_near_the_target(spark):
+    rows = [(None if k % 2 else 7, f"w{k} " + "w " * 9, "s") for k in range(2000)]
+    found = mixing.sizes(documents(spark, rows))
+    got = mixing.taken_words(found, mixing.mix_plan(found)).collect()
+    _, taken = brute(rows)
+    assert sorted(r["taken"] for r in got) == sorted(taken.values())
+    assert abs(sum(r["taken"] for r in got) - 30000) <= 10
+
+
 def test_equals_the_sql(spark, sf):
     con = database(sf)
     df = op9_mixing(spark, sf)
