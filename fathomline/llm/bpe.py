@@ -15,6 +15,7 @@ normaliser and no post-processing; other files are refused.
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import unicodedata
@@ -64,6 +65,18 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+class _Kept(dict):
+    """Ids of words, encoded when first asked for."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self._encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = ids = self._encode([word])[0]
+        return ids
+
+
 class Vocabulary:
     """Splits, encodes and decodes with one tokenizer file's text."""
 
@@ -91,11 +104,13 @@ class Vocabulary:
         pieces |= {t["id"]: t["content"].encode() for t in added}
         self.size = max(pieces) + 1
         self.pieces = [pieces.get(i, b"") for i in range(self.size)]
-        self._kept: dict[str, bytes] = {}
+        self._kept = _Kept(self.encode_words)
 
     @cached_property
     def _tokenizer(self) -> Tokenizer:
         """The library's tokenizer; tasks that only split or spell rarely need it."""
+        # A task has one core: threads of the library's own only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         made = Tokenizer.from_str(self._spec)
         made.no_truncation()
         made.no_padding()
@@ -118,18 +133,16 @@ class Vocabulary:
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of each word as little-endian unsigned 32-bit integers."""
-        found = self._tokenizer.encode_batch(words, add_special_tokens=False)
-        ids = [e.ids for e in found]
+        encode = self._tokenizer.encode
+        # One at a time: a batch would hold an object per word of it.
+        ids = (encode(w, add_special_tokens=False).ids for w in words)
         return [struct.pack(f"<{len(i)}I", *i) for i in ids]
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text; words seen before in this task are not encoded again."""
         if len(self._kept) > KEPT_WORDS:
             self._kept.clear()
-        words, kept = self.split(text), self._kept
-        if new := list({w for w in words if w not in kept}):
-            kept.update(zip(new, self.encode_words(new)))
-        return b"".join(map(kept.__getitem__, words))
+        return b"".join(map(self._kept.__getitem__, self.split(text)))
 
 
 _LOADED: dict[int, Vocabulary] = {}
@@ -269,9 +282,11 @@ def _word_ids(blocks: DataFrame, spec: Spec, buckets: int) -> DataFrame:
     def encoded(batches):
         vocabulary = loaded(spec)
         known: dict[bytes, bytes] = {}
+        bucket = None
         for batch in slices(batches, 1):
             words = _unpacked(batch.column(2)[0].as_py())
-            if len(known) > KEPT_WORDS:
+            if bucket != batch.column(0)[0].as_py() or len(known) > KEPT_WORDS:
+                bucket = batch.column(0)[0].as_py()
                 known.clear()
             new = [w for w in words if w not in known]
             known.update(zip(new, vocabulary.encode_words([w.decode() for w in new])))
@@ -280,7 +295,7 @@ def _word_ids(blocks: DataFrame, spec: Spec, buckets: int) -> DataFrame:
             columns = [pa.array([_planes(x)], pa.binary()) for x in (sizes, np.frombuffer(b"".join(ids), "<u4"))]
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(0), *columns], ["block", "bucket", "sizes", "ids"])
 
-    met = blocks.mapInArrow(deal, "bucket int, block long, words binary").repartition("bucket")
+    met = blocks.mapInArrow(deal, "bucket int, block long, words binary").repartition("bucket").sortWithinPartitions("bucket")
     return met.mapInArrow(encoded, "block long, bucket int, sizes binary, ids binary")
 
 
