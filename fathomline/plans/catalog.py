@@ -291,6 +291,11 @@ def forecast_linear(spark, sf):
     return rounded(fc.forecast(given.prices(spark, sf), "symbol", "date", "close"))
 
 
+@query
+def forecast_holt(spark, sf):
+    return rounded(fc.forecast(given.prices(spark, sf), "symbol", "date", "close", method="holt"))
+
+
 @query
 def forecast_flat(spark, sf):
     flat = fc.forecast_flat(_next_day(spark, sf), F.col("ma_7"))

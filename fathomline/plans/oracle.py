@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from fathomline.functions import labels, providers
-from fathomline.operators import mining
+from fathomline.operators import forecast, mining
 from fathomline.plans import catalog as c
 
 ORACLES: dict[str, str] = {}
@@ -248,6 +248,24 @@ WHERE CAST('0x' || substr(md5('7|' || symbol || '|' || date), 1, 8) AS BIGINT) <
 ORACLES["forecast_linear"] = (
     f"{parts(BARS, lines('bars'), outlook(7))} SELECT symbol, ts, {r('forecast', 'lower', 'upper')} FROM outlook"
 )
+_weights = ", ".join(f"({a}::DOUBLE, {b}::DOUBLE)" for a, b in forecast.SETTINGS)
+ORACLES["forecast_holt"] = f"""WITH RECURSIVE {BARS},
+days AS (SELECT symbol, date, close, row_number() OVER w AS n, lead(close) OVER w - close AS rise
+  FROM bars WHERE close IS NOT NULL WINDOW w AS (PARTITION BY symbol ORDER BY date, close)),
+smooth AS (
+  SELECT symbol, a, b, n, close AS l, coalesce(rise, 0) AS t, 0::DOUBLE AS sse
+  FROM days, (VALUES {_weights}) AS g(a, b) WHERE n = 1
+  UNION ALL
+  SELECT s.symbol, a, b, d.n, l + t + a * (d.close - l - t), t + a * b * (d.close - l - t),
+    sse + (d.close - l - t) * (d.close - l - t)
+  FROM smooth s JOIN days d ON d.symbol = s.symbol AND d.n = s.n + 1),
+best AS (SELECT s.*, date FROM smooth s JOIN days USING (symbol, n)
+  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY n DESC, sse, a, b) = 1),
+outlook AS (SELECT symbol, date + CAST(h AS INTEGER) AS ts, l + h * t AS forecast,
+  1.96::DOUBLE * sqrt(sse / CASE WHEN n > 2 THEN n - 2 END
+    * (1 + (h - 1) * (a * a + a * a * b * h + a * a * b * b * h * (2 * h - 1) / 6))) AS margin
+  FROM best, range(1, 8) AS g(h))
+SELECT symbol, ts, {r('forecast')}, {half_up('forecast - margin')} AS lower, {half_up('forecast + margin')} AS upper FROM outlook"""
 ORACLES["forecast_flat"] = f"""{complete},
 latest AS (SELECT * FROM complete QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1)
 SELECT symbol, date + CAST(h AS INTEGER) AS prediction_date, floor((ma_7) * 1000000 + 0.5::DOUBLE) / 1000000 AS predicted_close,

@@ -185,6 +185,56 @@ def test_line_forecast(spark):
         assert r.lower == pytest.approx(want, abs=1e-3) and r.upper == pytest.approx(want, abs=1e-3)
 
 
+def smoothed_by_hand(values, alpha, beta):
+    level, trend, sse = values[0], values[1] - values[0] if len(values) > 1 else 0.0, 0.0
+    for y in values[1:]:
+        error = y - level - trend
+        level, trend = level + trend + alpha * error, trend + alpha * beta * error
+        sse += error * error
+    return level, trend, sse
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 3, 4096])
+def test_smoothing_in_runs(spark, chunk_rows):
+    chance = random.Random(4)
+    series = {"A": 40, "B": 1, "C": 2, "D": 17}
+    closes = {s: [1000 + 5 * d + chance.gauss(0, 20) for d in range(n)] for s, n in series.items()}
+    df = bars(spark, [(s, d, c, 1) for s, cs in closes.items() for d, c in enumerate(cs)]).repartition(5)
+    settings = [(0.2, 0.1), (0.7, 0.4), (1.0, 0.0)]
+    rows = {r.symbol: r for r in forecast.smooth(df, "symbol", "date", "close", settings, chunk_rows).collect()}
+    assert {s: r.n for s, r in rows.items()} == series
+    for s, r in rows.items():
+        tried = {w: smoothed_by_hand(closes[s], *w) for w in settings}
+        assert r.sse == pytest.approx(min(t[2] for t in tried.values()), abs=1e-6)
+        assert (r.level, r.trend) == pytest.approx(tried[(r.alpha, r.beta)][:2], abs=1e-6)
+        assert r.last_ts == DAY + dt.timedelta(days=series[s] - 1)
+
+
+def test_holt_forecast(spark):
+    df = bars(spark, [("A", d, 10.0 + 2 * d, 1) for d in range(6)] + [("B", 3, 7.0, 1)])
+    gaps = df.union(df.limit(1).withColumn("close", F.lit(None).cast("double")))
+    for rows in (df, gaps):
+        made = forecast.forecast(rows, "symbol", "date", "close", horizon=3, method="holt").orderBy("symbol", "ts").collect()
+        assert [r.forecast for r in made] == pytest.approx([22, 24, 26, 7, 7, 7])
+        assert [r.upper for r in made[:3]] == pytest.approx([22, 24, 26])
+        assert all(r.lower is None and r.upper is None for r in made[3:])
+    assert forecast.forecast(df.limit(0), "symbol", "date", "close", method="holt").collect() == []
+
+
+def test_holt_bounds_widen(spark):
+    df = bars(spark, [("A", d, float(d % 3), 1) for d in range(30)])
+    made = forecast.forecast(df, "symbol", "date", "close", horizon=3, method="holt", settings=[(0.5, 0.1)]).orderBy("ts").collect()
+    sigma = math.sqrt(smoothed_by_hand([float(d % 3) for d in range(30)], 0.5, 0.1)[2] / 28)
+    steps = [0.5 * (1 + 0.1 * j) for j in (1, 2)]
+    want = [1.96 * sigma * math.sqrt(1 + sum(c * c for c in steps[:j])) for j in range(3)]
+    assert [r.upper - r.forecast for r in made] == pytest.approx(want)
+
+
+def test_unknown_forecast_method(spark):
+    with pytest.raises(ValueError):
+        forecast.forecast(bars(spark, [("A", 0, 1.0, 1)]), "symbol", "date", "close", method="other")
+
+
 def test_flat_forecast(spark):
     df = spark.createDataFrame([("A", DAY, 2.0), ("A", DAY - dt.timedelta(1), 9.0)], "symbol string, date date, volatility_7d double")
     rows = forecast.forecast_flat(df, F.lit(50.0)).orderBy("prediction_date").collect()
