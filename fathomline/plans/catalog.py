@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from fathomline import schemas
 from fathomline.functions import labels, providers
-from fathomline.operators import enrich, evaluate, merge, mining, price_features, regress, reports, usage
+from fathomline.operators import enrich, evaluate, gazetteer, merge, mining, price_features, regress, reports, usage
 from fathomline.operators import forecast as fc
 from fathomline.operators.dates import days_back, since
 from fathomline.operators.sampling import sample_rows
@@ -574,6 +574,26 @@ def filing_entities(spark, sf):
     )
 
 
+def _phrases(spark: SparkSession, sf: str) -> DataFrame:
+    """Every run of two or three tokens that users write, as a long list of names."""
+    asked = given.turns(spark, sf).where(F.col("role") == "user").select(gazetteer.tokens(F.col("text")).alias("parts"))
+    runs = F.flatten(F.array(*[gazetteer.token_runs(F.col("parts"), F.lit(n)) for n in (2, 3)]))
+    return asked.where(F.size("parts") >= 3).select(F.inline(runs)).select(F.col("key").alias("name")).distinct()
+
+
+@query
+def filing_names(spark, sf):
+    """Names of a list of any size in filings: leftmost, longest, without overlap."""
+    return gazetteer.find_names(given.filings(spark, sf), _phrases(spark, sf), "cik", "filing_text")
+
+
+@query
+def filing_name_lists(spark, sf):
+    """The distinct names of each filing, whatever their case."""
+    made = gazetteer.name_lists(given.filings(spark, sf), _phrases(spark, sf), "cik", "filing_text", ignore_case=True)
+    return made.select("cik", F.size("names").cast("bigint").alias("n_names"), F.sha2(F.array_join("names", "|"), 256).alias("names_sha256"))
+
+
 @query
 def enriched_filings(spark, sf):
     return rounded(_enriched(spark, sf, ids=True))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from fathomline.functions import labels, providers
-from fathomline.operators import forecast, mining
+from fathomline.operators import forecast, gazetteer, mining
 from fathomline.plans import catalog as c
 
 ORACLES: dict[str, str] = {}
@@ -373,6 +373,35 @@ ORACLES["filing_entities"] = (
     )
     + " FROM filings WHERE length(filing_text) > 200"
 )
+
+
+def named(fold: str) -> str:
+    """Names found by walking from each to the first that starts after its end."""
+    def cut(value: str) -> str:
+        return f"regexp_extract_all({fold.format(value)}, '{gazetteer.TOKEN}', 0)"
+
+    return f"""WITH RECURSIVE {FILINGS},
+asked AS (SELECT regexp_extract_all(text, '{gazetteer.TOKEN}', 0) AS p FROM conversations WHERE role = 'user'),
+phrases AS (SELECT DISTINCT array_to_string(p[i:i + n - 1], ' ') AS name
+  FROM asked, (VALUES (2), (3)) v(n), unnest(range(1, len(p) - n + 2)) u(i) WHERE len(p) >= 3),
+keys AS (SELECT array_to_string({cut('name')}, ' ') AS key, min(name) AS name FROM phrases GROUP BY 1),
+cuts AS (SELECT cik, {cut('filing_text')} AS p FROM filings),
+spans AS (SELECT cik, i - 1 AS start, n, array_to_string(p[i:i + n - 1], ' ') AS key
+  FROM cuts, (VALUES (2), (3)) v(n), unnest(range(1, len(p) - n + 2)) u(i)),
+longest AS (SELECT cik, start, n, name FROM spans JOIN keys USING (key)
+  QUALIFY row_number() OVER (PARTITION BY cik, start ORDER BY n DESC) = 1),
+linked AS (SELECT a.*, b.start AS next FROM longest a ASOF LEFT JOIN longest b ON a.cik = b.cik AND a.start + a.n <= b.start),
+found AS (
+  SELECT * FROM linked QUALIFY row_number() OVER (PARTITION BY cik ORDER BY start) = 1
+  UNION ALL SELECT l.* FROM found f JOIN linked l ON l.cik = f.cik AND l.start = f.next)"""
+
+
+ORACLES["filing_names"] = f"""{named('{}')}
+SELECT cik, CAST(start AS INTEGER) AS start, CAST(n AS INTEGER) AS n, name FROM found"""
+ORACLES["filing_name_lists"] = f"""{named('lower({})')},
+lists AS (SELECT cik, list_sort(list(DISTINCT name)) AS names FROM found GROUP BY cik)
+SELECT cik, CAST(coalesce(len(names), 0) AS BIGINT) AS n_names, sha256(coalesce(array_to_string(names, '|'), '')) AS names_sha256
+FROM filings LEFT JOIN lists USING (cik)"""
 enriched, light = parts(*ENRICHED), parts(*LIGHT)
 ORACLES["enriched_filings"] = f"""{enriched}
 SELECT filing_id, cik, company_name, form_type, filing_date, original_text, ai_summary, sentiment,

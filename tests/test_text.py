@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathomline.functions import arrays, labels, providers
-from fathomline.operators import enrich, reports
+from fathomline.operators import enrich, gazetteer, reports
 from fathomline.plans import runs
 
 DAY = dt.date(2026, 3, 15)
@@ -320,3 +320,66 @@ def test_default_marks_hit_every_family(spark, sf):
     types = {r["type"] for r in catalog.QUERIES["triggers_default"](spark, sf).collect()}
     assert types == {f for f, _, _ in mining.TRIGGER_FAMILIES}
     assert {r["classification"] for r in catalog.QUERIES["classify_default"](spark, sf).collect()} == set(labels.LABELS)
+
+
+def names_by_hand(text, names, fold):
+    cut = re.compile(r"[^\W_]+|(?:[^\w\s]|_)+").findall
+    keys = {}
+    for name in sorted(n for n in names if n):
+        keys.setdefault(tuple(cut(fold(name))), name)
+    keys.pop((), None)
+    sizes = sorted({len(k) for k in keys}, reverse=True)
+    parts, at, found = cut(fold(text or "")), 0, []
+    while at < len(parts):
+        for n in sizes:
+            name = keys.get(tuple(parts[at : at + n]))
+            if name and at + n <= len(parts):
+                found.append((at, n, name))
+                at += n
+                break
+        else:
+            at += 1
+    return found
+
+
+@pytest.mark.parametrize("ignore_case", [False, True])
+def test_names_of_a_long_list(spark, ignore_case):
+    chance = random.Random(3)
+    words = ["New", "new", "York", "Ode", "été", "7", "a", "&", "O'Neil"]
+    names = {" ".join(chance.choices(words, k=chance.randint(1, 4))) for _ in range(40)}
+    names = [*names, "New  York", "New York", "", "  ", None, *(f"Filler {i}" for i in range(25_000))]
+    texts = [" ".join(chance.choices(words + [",", "York. New"], k=chance.randint(0, 60))) for _ in range(60)]
+    texts += [None, "", "Filler 24999\tNew\nYork", "New York " * 5000]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").withColumn("name", F.lit("clash"))
+    listed = spark.createDataFrame([(n, 1) for n in names], "name string, id int")
+    fold = str.lower if ignore_case else str
+    found = gazetteer.find_names(df, listed, "id", "text", ignore_case=ignore_case)
+    made = collections.defaultdict(list)
+    for r in found.collect():
+        made[r.id].append((r.start, r.n, r.name))
+    want = {i: names_by_hand(t, names, fold) for i, t in enumerate(texts)}
+    assert {i: sorted(m) for i, m in made.items()} == {i: w for i, w in want.items() if w}
+    lists = gazetteer.name_lists(df, listed, "id", "text", ignore_case=ignore_case).collect()
+    assert {r.id: r.names for r in lists} == {i: sorted({n for _, _, n in w}) for i, w in want.items()}
+
+
+def test_names_of_nothing(spark):
+    df = spark.createDataFrame([(1, "a b")], "id long, text string")
+    none = spark.createDataFrame([(None,), ("",)], "name string")
+    assert gazetteer.find_names(df, none, "id", "text").collect() == []
+    assert gazetteer.name_lists(df, none, "id", "text").first().names == []
+    assert gazetteer.find_names(df.limit(0), df.select(F.lit("a").alias("name")), "id", "text").collect() == []
+
+
+def test_names_shuffle_no_text(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a b")], "id long, text string")
+    df.write.parquet(str(tmp_path / "t"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = gazetteer.find_names(spark.read.parquet(str(tmp_path / "t")), df, "id", "text", "text")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 1
+    assert not any("Exchange hash" in line and "text" in line for line in plan.splitlines())
