@@ -40,7 +40,7 @@ def prices(spark: SparkSession, sf_dir: str, first_day: dt.date | None = None) -
     brands = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("symbol"))
     sales = items.join(brands, F.col("l_partkey") == F.col("p_partkey")).withColumn(
         "place",
-        (F.col("k") * 1_000_000_000_000 + F.floor(F.col("price") * 1_000_000).cast("decimal(12,0)")).cast(
+        (F.col("k") * 10**18 + F.floor(F.col("price") * 1_000_000).cast("decimal(18,0)")).cast(
             "decimal(38,0)"
         ),
     )

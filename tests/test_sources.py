@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fathomline import runtime, schemas
-from fathomline.sources import feeds, files, payloads
+from fathomline.sources import feeds, files, given, payloads
 
 GOOD = """{"Meta Data": {"2. Symbol": "AAA"}, "Time Series (Daily)": {
   "2026-01-02": {"1. open": "10.0", "2. high": "11.0", "3. low": "9.5", "4. close": "10.5", "5. volume": "1000"},
@@ -85,3 +85,13 @@ def test_shared_folder_follows_the_session(spark):
     root = runtime.shared_root(spark)
     assert runtime.shared_root(spark) == root
     assert runtime.scratch_path(spark, "x") != runtime.scratch_path(spark, "x")
+
+
+def test_large_unit_prices(spark, tmp_path):
+    day = dt.datetime(2024, 5, 1)
+    sold = [(9 * 10**14, 1, 1, 2.0, 4_000_000.0, day), (9 * 10**14, 2, 1, 1.0, 3e11, day), (2, 1, 1, 1.0, 5.0, day)]
+    schema = "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp"
+    spark.createDataFrame(sold, schema).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, "B")], "p_partkey long, p_brand string").write.parquet(str(tmp_path / "part.parquet"))
+    bar = given.prices(spark, str(tmp_path)).first()
+    assert (bar.open, bar.high, bar.low, bar.close, bar.volume) == (5.0, 3e11, 5.0, 3e11, 4)
