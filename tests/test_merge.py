@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from fathomline import runtime, schemas
 from fathomline.operators import merge
 from fathomline.operators.dates import zoned
+from fathomline.plans import catalog
 from fathomline.sources import payloads, tables
 from fathomline.streaming import incremental
 
@@ -189,6 +190,16 @@ def test_stream_new_filings_once_whatever_their_age(spark, tmp_path):
     assert run("another_state") == everything
 
 
+def test_a_delivery_of_filings_is_written_by_many_tasks(spark, sf, tmp_path, monkeypatch):
+    spark.read.parquet(f"{sf}/documents.parquet").repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(catalog, "scratch_path", lambda _, name: str(tmp_path / name))
+    got = catalog.QUERIES["stream_new_filings"](spark, str(tmp_path))
+    enriched = catalog.rounded(catalog._enriched(spark, sf)).select(got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, enriched.collect()))
+    assert len(list((tmp_path / "inbox").glob("*.parquet"))) == 12
+    assert len(list((tmp_path / "state" / "commits").glob("[0-9]*"))) == 3
+
+
 def test_stream_keeps_rejects_and_no_staged_copies(spark, tmp_path):
     inbox, path, bad, state = (str(tmp_path / n) for n in ("in", "out", "bad", "state"))
     table = T.StructType([*schemas.PRICES.fields, T.StructField("year", T.IntegerType())])
