@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.classic.dataframe import DataFrame
 
+from fathomline.functions import providers
 from fathomline.operators import enrich
 from fathomline.plans import catalog
 from fathomline.sources import files, given
@@ -86,3 +87,22 @@ def test_same_rows_with_and_without_addresses(spark, tmp_path, limit):
     else:
         early = enrich.enrich_filings(df, ids=False, run_ts=stamp)
         assert sorted(map(str, [r[1:] for r in late])) == sorted(str(tuple(r)) for r in early.collect())
+
+
+def test_text_steps_run_once_per_text(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    def client():
+        def summarise(batch):
+            calls.add(len(batch))
+            return list(batch)
+
+        return summarise
+
+    rows = [(str(i), "co", "f", dt.date(2026, 1, 1), f"{i} " + "growth and merger " * 9, "u") for i in range(30)]
+    schema = "cik string, company_name string, form_type string, filing_date date, body string, url string"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).withColumnRenamed("body", "filing_text")
+    steps = enrich.TextProviders(summary=providers.external_text(client))
+    done = enrich.enrich_filings(df, steps, stored_text="body")
+    assert done.count() == 30 and calls.value == 30
