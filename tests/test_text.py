@@ -383,3 +383,30 @@ def test_names_shuffle_no_text(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 1
     assert not any("Exchange hash" in line and "text" in line for line in plan.splitlines())
+
+
+def test_names_behind_a_full_filter_and_one_run_per_start(spark, monkeypatch):
+    names = ["a b", "b c", "a b c d", "c d", "d"] + [f"x{i} y z" for i in range(30_000)]
+    texts = ["a b c x a b c d", "c d d a b", "b c d", "x7 y z y x7 y", None, ""]
+    df = spark.createDataFrame([*enumerate(texts), (0, texts[0]), (None, "a b"), (None, "c d")], "id long, text string")
+    listed = spark.createDataFrame([(n,) for n in names], "name string")
+    want = {i: w for i, t in enumerate(texts) if (w := names_by_hand(t, names, str))} | {None: [(0, 2, "a b")]}
+    shuffled = []
+    for words in (gazetteer.MOST_WORDS, 128):  # 128 words are full
+        monkeypatch.setattr(gazetteer, "MOST_WORDS", words)
+        made = collections.defaultdict(list)
+        found = gazetteer.find_names(df, listed, "id", "text")
+        for r in found.collect():
+            made[r.id].append((r.start, r.n, r.name))
+        assert {i: sorted(m) for i, m in made.items()} == want
+        rows = gazetteer.name_lists(df, listed, "id", "text").collect()
+        lists = {i: sorted({n for *_, n in w}) for i, w in want.items() if i is not None}
+        assert sorted((str(r.id), r.names) for r in rows) == sorted(
+            [(str(i), lists.get(i, [])) for i in [*range(len(texts)), 0]] + [("None", [])] * 2
+        )
+        keys = gazetteer._keys(listed, "name", False)
+        parts = df.select("id", gazetteer.tokens(F.col("text")).alias("parts"))
+        likely = gazetteer._likely(parts, gazetteer._filter(keys, words), [1, 2, 3, 4], words).where("id = 1").collect()
+        shuffled.append(len(likely))
+        assert len({r.start for r in likely}) == len(likely)
+    assert shuffled[0] <= shuffled[1] == 5
