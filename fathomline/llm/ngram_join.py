@@ -7,7 +7,9 @@ relations between sets save work on them:
   to a leader share one entry per list.  A list is kept in order of set size and
   read in blocks; a block whose sizes or positions rule out the required overlap
   is skipped as a whole.  Entries of longer lists carry parity bits of their set, and
-  pairs that these rule out are not written.
+  pairs that these rule out are not written.  Of the other pairs of longer lists only
+  those are written that hold together what all of them do, so their number grows with
+  the entries, not with the square of a list.
 * answer level: the overlap of a set with every follower of a leader is derived from
   its overlap with the leader by the few shingles in which follower and leader differ.
 
@@ -143,10 +145,11 @@ def _narrow(bits: bytes) -> bytes:
 
 
 class _Marks:
-    """Parity bits of the entries of some lists; entries without bits are null."""
+    """Parity bits of the entries of some lists; entries without bits are null, or empty in a longer list."""
 
     def __init__(self, column: pa.ChunkedArray):
-        self.rows = [None if x is None else np.frombuffer(x, np.uint8) for x in column.to_pylist()]
+        self.given = column.is_valid().to_numpy()
+        self.rows = [np.frombuffer(x, np.uint8) if x else None for x in column.to_pylist()]
         self.length = np.fromiter((0 if x is None else len(x) for x in self.rows), np.int64, len(self.rows))
         self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -244,15 +247,18 @@ def _possible(lo_a, hi_a, rest_a, lo_b, hi_b, rest_b, percent: int):
     return fits & ((1 + np.minimum(rest_a, rest_b)) * (100 + percent) >= percent * (lo_a + lo_b))
 
 
-def _list_pairs(starts: np.ndarray, own, lo, hi, rest, far, marks: _Marks, cross: np.ndarray, percent: int):
+def _list_pairs(starts: np.ndarray, own, lo, hi, rest, far, marks: _Marks, cross: np.ndarray, percent: int, news):
     """Index pairs of entries of the same list that may be similar.
 
     ``starts``: first entry of every list and the end.  Entries are in order of
     ``lo``.  ``cross``: the list holds two parts, only pairs across them count.
-    ``far``: how far sets of the entry are from the set of its bits.
+    ``far``: how far sets of the entry are from the set of its bits.  ``news``: tells
+    which pairs the caller can still use; others are left out.
     """
 
     def near(x, y, ok):
+        x, y = x[ok], y[ok]
+        ok = news(x, y)
         x, y = x[ok], y[ok]
         ok = marks.allow(x, y, (hi[x] + hi[y]) * (100 - percent) // (100 + percent) + far[x] + far[y])
         return x[ok], y[ok]
@@ -294,7 +300,7 @@ def _split_lists(cells: DataFrame) -> DataFrame:
     counted = counted.withColumn("own", F.pmod(F.xxhash64("grp"), F.col("parts")).cast("int"))
     dealt = counted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.withColumn("a", F.least("own", "other")).withColumn("b", F.greatest("own", "other"))
-    wanted = ["token", "a", "b", "own", "grp", "members", "lo", "hi", "rest", "far", "mark"]
+    wanted = ["token", "a", "b", "own", "grp", "lo", "hi", "rest", "far", "mark"]
     return dealt.repartition("token", "a", "b").sortWithinPartitions("token", "a", "b", "lo", "grp").select(*wanted)
 
 
@@ -321,48 +327,88 @@ def _whole_lists(batches):
         yield pa.Table.from_batches(held)
 
 
-def _compare_lists(batches, percent: int):
-    """Per run of whole lists: the columns and the index pairs that may be similar."""
-    for rows in _whole_lists(batches):
+class _Lists:
+    """A run of whole lists: which group every entry belongs to, and the pairs that may be similar."""
+
+    def __init__(self, rows: pa.Table, percent: int):
         cols = {n: rows.column(n).to_numpy().astype(np.int64) for n in rows.column_names if n != "mark"}
         change = (np.diff(np.stack([cols["token"], cols["a"], cols["b"]]), axis=1) != 0).any(axis=0)
-        starts = np.concatenate([[0], np.flatnonzero(change) + 1, [rows.num_rows]])
-        cross = cols["a"] != cols["b"]
-        values = [cols[n] for n in ("own", "lo", "hi", "rest", "far")]
-        yield cols, _list_pairs(starts, *values, _Marks(rows.column("mark")), cross, percent)
-    hand_back()
+        self.starts = np.concatenate([[0], np.flatnonzero(change) + 1, [rows.num_rows]])
+        self.values = [cols[n] for n in ("own", "lo", "hi", "rest", "far")]
+        self.cross = cols["a"] != cols["b"]
+        self.marks = _Marks(rows.column("mark"))
+        self.groups, self.at = np.unique(cols["grp"], return_inverse=True)
+        self.percent = percent
+
+    def pairs(self, news):
+        """Places in ``groups`` of pairs for which ``news`` holds, and whether bits were given for them."""
+
+        def asked(x, y):
+            return news(self.at[x], self.at[y])
+
+        for x, y in _list_pairs(self.starts, *self.values, self.marks, self.cross, self.percent, asked):
+            if len(x):
+                yield self.at[x], self.at[y], self.marks.given[x]
 
 
 def _partnered(cells: DataFrame, percent: int) -> DataFrame:
     """Groups with at least one possible partner in some list."""
 
     def read(batches):
-        for cols, pairs in _compare_lists(batches, percent):
-            found = np.zeros(len(cols["grp"]), bool)
-            for x, y in pairs:
+        for rows in _whole_lists(batches):
+            lists = _Lists(rows, percent)
+            found = np.zeros(len(lists.groups), bool)
+            for x, y, _ in lists.pairs(lambda x, y: ~(found[x] & found[y])):
                 found[x] = found[y] = True
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(cols["grp"][found]), pa.int64())], ["id"])
+            yield pa.RecordBatch.from_arrays([pa.array(lists.groups[found], pa.int64())], ["id"])
+        hand_back()
 
     return _split_lists(cells).mapInArrow(read, "id long").distinct()
 
 
+def _joining(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Places of pairs that are enough to join what all pairs join; ``label`` is brought up to date."""
+    chosen, left = [np.zeros(0, np.int64)], np.arange(len(x))
+    while True:
+        a, b = label[x[left]], label[y[left]]
+        apart = a != b
+        if not apart.any():
+            return np.concatenate(chosen)
+        left, low = left[apart], np.minimum(a, b)[apart]
+        high, first = np.unique(np.maximum(a, b)[apart], return_index=True)
+        chosen.append(left[first])
+        above = np.arange(len(label))
+        above[high] = low[first]
+        while (above != above[above]).any():
+            above = above[above]
+        label[:] = above[label]
+
+
 def _group_pairs(cells: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of groups that may hold a link: (probe, block), the probe group the smaller."""
+    """Pairs of groups that may hold a link: (probe, block, sure), the probe group the smaller id.
+
+    Pairs of a list with bits have passed their test and are sure.  Of these only the ones
+    are written that join groups which others of the same run have not joined, fewer than
+    the run has groups; whatever is held together by all of them still is.  Lists without
+    bits are short, and all their pairs that are not joined yet are written.
+    """
 
     def read(batches):
-        for cols, pairs in _compare_lists(batches, percent):
-            for x, y in pairs:
-                if not len(x):
-                    continue
-                g, m = cols["grp"], cols["members"]
-                swap = (m[x] > m[y]) | ((m[x] == m[y]) & (g[x] > g[y]))
-                p, q = np.where(swap, y, x), np.where(swap, x, y)
-                four = np.unique(np.stack([g[p], m[p], g[q], m[q]], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(four[:, i], pa.int64()) for i in range(4)], ["probe", "probes", "block", "members"]
-                )
+        for run in _whole_lists(batches):
+            lists = _Lists(run, percent)
+            label = np.arange(len(lists.groups))
+            written = [np.zeros((0, 3), np.int64)]
+            for x, y, sure in lists.pairs(lambda x, y: label[x] != label[y]):
+                rows = np.stack([np.minimum(x, y), np.maximum(x, y), sure], axis=1)
+                written += [rows[~sure], rows[sure][_joining(label, x[sure], y[sure])]]
+            three = np.unique(np.concatenate(written), axis=0)
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(lists.groups[three[:, i]], pa.int64()) for i in range(2)], pa.array(three[:, 2] == 1)],
+                ["probe", "block", "sure"],
+            )
+        hand_back()
 
-    return _split_lists(cells).mapInArrow(read, "probe long, probes long, block long, members long").distinct()
+    return _split_lists(cells).mapInArrow(read, "probe long, block long, sure boolean").distinct()
 
 
 def _linked(overlap, a, b, percent: int):
@@ -650,14 +696,14 @@ def similar_documents(
     lists = stored(lists.select("token", "id", "n", "rest", "c", "mark"), "lists")
 
     alone = lists.select(
-        "token", F.col("id").alias("grp"), F.lit(1).alias("members"), F.col("n").alias("lo"), F.col("n").alias("hi"), "rest",
+        "token", F.col("id").alias("grp"), F.col("n").alias("lo"), F.col("n").alias("hi"), "rest",
         "c", F.lit(0).alias("far"), "mark",
     )
     active = stored(_partnered(alone, percent), "active")
     live = stored(reps.join(active, "id", "left_semi"), "live")
     follow = stored(_followers(docs, live, doc_id, text, width, percent), "followers")
     nodes = live.groupBy("id").agg(
-        F.max("n").alias("n"), F.count("*").alias("sets"), *[F.first(b).alias(b) for b in ("bits", "mark")]
+        F.max("n").alias("n"), F.count("*").alias("sets"), F.first("bits").alias("bits")
     )
     grouped = nodes.join(follow.groupBy("id").agg(F.min("leader").alias("leader")), "id", "left")
     grouped = grouped.select("id", "n", "sets", F.coalesce("leader", "id").alias("grp"))
@@ -667,18 +713,18 @@ def similar_documents(
     radius = follow.groupBy(F.col("leader").alias("grp")).agg(F.max("apart").alias("far"))
     about = groups.groupBy("grp").agg(F.max("n").alias("most"), F.max("several").alias("several"))
     about = about.join(radius, "grp", "left").join(
-        nodes.select(F.col("id").alias("grp"), "bits", "mark", "sets"), "grp", "left"
+        nodes.select(F.col("id").alias("grp"), "bits", "sets"), "grp", "left"
     )
     sure = ~F.col("several") & (F.col("sets") == 1)
     about = about.select(
-        "grp", *[F.when(sure, F.col(b)).alias(b) for b in ("bits", "mark")], "most", F.coalesce("far", F.lit(0)).alias("far")
+        "grp", F.when(sure, F.col("bits")).alias("bits"), "most", F.coalesce("far", F.lit(0)).alias("far")
     )
     about = stored(about, "about")
-    placed = stored(groups.join(about, "grp").select("id", "grp", "members", "far", "mark"), "placed")
+    placed = stored(groups.join(about, "grp").select("id", "grp", "far", F.coalesce("bits", F.lit(b"")).alias("mark")), "placed")
     cells = (
         lists.select("token", "id", "n", "rest", "c")
         .join(placed, "id")
-        .groupBy("token", "grp", "members", "c", "far")
+        .groupBy("token", "grp", "c", "far")
         .agg(
             F.min("n").alias("lo"),
             F.max("n").alias("hi"),
@@ -688,13 +734,14 @@ def similar_documents(
     )
     pairs = stored(_group_pairs(cells, percent), "pairs")
     sides = about.select("grp", "bits", "most", "far")
-    possible = (
-        pairs.join(sides.toDF("probe", "bits_a", "most_a", "far_a"), "probe")
+    tested = (
+        pairs.filter("not sure")
+        .join(sides.toDF("probe", "bits_a", "most_a", "far_a"), "probe")
         .join(sides.toDF("block", "bits_b", "most_b", "far_b"), "block")
         .filter(_bits_allow(percent)("bits_a", "most_a", "far_a", "bits_b", "most_b", "far_b"))
         .select("probe", "block")
     )
-    possible = stored(possible, "possible")
+    possible = stored(pairs.filter("sure").select("probe", "block").union(tested), "possible")
     links = stored(_family_links(docs, possible, groups, live, doc_id, text, width, percent), "links")
     edges = copies.union(follow.select("id", "leader")).union(links.filter("leader is not null").select("id", "leader"))
     found = components(edges, "id", "leader").withColumnRenamed("node", "id")

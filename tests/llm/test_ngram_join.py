@@ -8,7 +8,7 @@ import pytest
 
 from fathomline.llm import ngram_join
 from fathomline.llm.components import components
-from fathomline.llm.words import shingle_sets
+from fathomline.llm.words import mix, shingle_sets
 from tests.llm.helpers import AWKWARD, brute_components, clashing, documents, near_copies, shingles
 
 
@@ -164,3 +164,47 @@ def test_texts_are_fetched_for_wanted_sets_only(spark):
     wanted = keys.filter("id % 10 = 0").selectExpr("*", "1L AS rows")
     got = ngram_join._set_texts(documents(spark, rows), wanted, "doc_id", "text", 5).collect()
     assert sorted((r["id"], r["text"]) for r in got) == [r for r in rows if r[0] % 10 == 0]
+
+
+def test_pairs_written_grow_with_the_sets_of_a_group(spark, monkeypatch):
+    """Near copies whose common leader is like none of them are a group each; few of their pairs are needed."""
+    rng = random.Random(4)
+
+    def least(words):
+        return min(range(len(words) - 4), key=lambda i: mix(shingle_sets(pa.array([" ".join(words[i : i + 5])]))[0])[0])
+
+    base = [f"w{i}" for i in range(80)]
+    at = least(base)
+    leader = base[at : at + 5] + [f"y{i}" for i in range(30)]
+    while least(leader):
+        leader[5:] = [f"y{rng.randrange(10**9)}" for _ in range(30)]
+    texts = [" ".join(leader), " ".join([*leader, "more"])]
+    for spot in rng.choices([i for i in range(80) if not at <= i < at + 5], k=120):
+        texts.append(" ".join([*base[:spot], f"x{rng.randrange(10**9)}", *base[spot + 1 :]]))
+    # Other sets of few rows, so that lists without bits are met as well.
+    texts += near_copies(13, groups=4, size=6)
+    written = {}
+
+    def counted(df, label, stored=ngram_join.stored):
+        out = stored(df, label)
+        written[label] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    check(spark, texts)
+    assert written["pairs"] <= 8 * len(texts)
+
+
+def test_joining_pairs_join_what_all_pairs_join():
+    rng = np.random.default_rng(1)
+    for n in (1, 40, 300):
+        x, y = rng.integers(0, 200, (2, n))
+        label, every = np.arange(200), np.arange(200)
+        chosen = ngram_join._joining(label, x, y)
+        for a, b in zip(x, y):
+            every[every == every[b]] = every[a]
+        assert len(chosen) == 200 - len(np.unique(every))
+        assert all((label[a] == label[b]) == (every[a] == every[b]) for a in range(200) for b in range(200))
+        again = np.arange(200)
+        ngram_join._joining(again, x[chosen], y[chosen])
+        assert (again == label).all()
