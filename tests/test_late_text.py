@@ -56,6 +56,63 @@ def test_no_text_in_an_exchange(spark, sf, plans, name):
     assert "filing_date" in plans and not plans & {"text", "filing_text", "original_text"}
 
 
+@pytest.mark.parametrize("name", ["cached_enrichment", "external_calls"])
+def test_only_texts_without_a_result_are_shuffled(spark, sf, monkeypatch, name):
+    """They are picked on the scan, which reads texts three times, and dealt to a number of tasks of their own."""
+    moved, reads, write = [], [], DataFrame.write.fget
+
+    def noted(df):
+        todo = [df._jdf.queryExecution().executedPlan()]
+        while todo:
+            node = todo.pop()
+            if node.nodeName() == "AdaptiveSparkPlan":
+                node = node.initialPlan()
+            names = {node.output().apply(i).name() for i in range(node.output().size())}
+            if "Exchange" in node.nodeName() and names & {"text", "filing_text"}:
+                moved.append(node.shuffleOrigin().toString())
+            if node.nodeName().startswith("Scan") and "text" in names:
+                reads.append(node.nodeName())
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+
+    def writing(df):
+        noted(df)
+        return write(df)
+
+    monkeypatch.setattr(DataFrame, "write", property(writing))
+    noted(catalog.QUERIES[name](spark, sf))
+    assert moved == ["REPARTITION_BY_NUM"] * 2 and len(reads) == 3
+
+
+def test_results_by_keys_are_those_of_the_rows(spark, tmp_path):
+    """Copies, copies of a row, rows without a text or an id, and a cache that holds some of the texts."""
+    texts = [None, "", "a text. of two.", *[f"text {i % 150} with profit and loss" for i in range(400)]]
+    rows = [(None if i % 40 == 7 else str(i), i, t) for i, t in enumerate(texts)]
+    rows += rows[:100]
+    made = spark.createDataFrame(rows, "cik string, n int, body string").repartition(3, "n")
+    made.write.option("parquet.block.size", 4096).option("parquet.page.size", 1024).parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).withColumnRenamed("body", "filing_text")
+    keys, steps = enrich.text_keys(df), enrich.TextProviders()
+    assert "filing_text" not in keys.columns
+
+    def filled(path, **given):
+        early = {"keys": given["keys"].where("n < 90")} if given else {}
+        enrich.new_results(df if given else df.where("n < 90"), None, steps, **early).write.parquet(path)
+        old = spark.read.parquet(path)
+        rest = enrich.new_results(df, old, steps, **given)
+        out = enrich.attach_results(given.get("keys", df), old.unionByName(rest))
+        shown = out.select("cik", "n", "text_hash", *enrich.RESULTS)
+        return [sorted(map(str, d.collect())) for d in (old, rest, shown)]
+
+    by_keys = filled(str(tmp_path / "keys"), keys=keys)
+    assert by_keys == filled(str(tmp_path / "rows")) and all(by_keys)
+
+
+def test_text_steps_have_tasks_by_the_size_of_the_texts(spark):
+    most = enrich.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    sizes = [0, 3 << 20, 1 << 30, 1 << 40]
+    assert [enrich._tasks_for(spark, s) for s in sizes] == [1, 3, max(most, 16), 1 << 14]
+
+
 def test_the_join_it_replaces_moves_text(spark, sf, plans):
     plans |= shuffled_columns(enrich.enrich_filings(given.filings(spark, sf)))
     assert "filing_text" in plans or "text" in plans
