@@ -110,7 +110,7 @@ def test_results_by_keys_are_those_of_the_rows(spark, tmp_path):
 def test_text_steps_have_tasks_by_the_size_of_the_texts(spark):
     most = enrich.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     sizes = [0, 3 << 20, 1 << 30, 1 << 40]
-    assert [enrich._tasks_for(spark, s) for s in sizes] == [1, 3, max(most, 16), 1 << 14]
+    assert [enrich._tasks_for(spark, s) for s in sizes] == [1, 3, max(most, 64), 1 << 16]
 
 
 def test_the_join_it_replaces_moves_text(spark, sf, plans):
